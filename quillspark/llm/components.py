@@ -1,0 +1,27 @@
+"""Connected components of a link table, by minimum labels with pointer jumping."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quillspark.session import cut
+
+
+def connected(links: DataFrame) -> DataFrame:
+    """(node, label) of every node of links (a, b): the least node that it reaches.
+
+    A node takes the least label among its neighbours and then the label of its label, so labels travel
+    twice as far in each round. Each round is written to the shared folder and the next one reads it.
+    """
+    links = links.select("a", "b").where("a <> b")
+    both = cut(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label"))
+    while True:
+        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
+        hooked = labels.join(near, labels.node == near.a).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        ahead = hooked.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        labels = cut(hooked.join(ahead, "label").select("node", F.least("label", "further").alias("label"), (F.least("label", "further") < F.col("old")).alias("moved")))
+        if labels.where("moved").isEmpty():
+            return labels.select("node", "label")
+        labels = labels.select("node", "label")

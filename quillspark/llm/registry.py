@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import fingerprint, pieces, pii, sharding, token_files, url_filter
+from quillspark.llm import fingerprint, near_dedup, pieces, pii, sharding, token_files, url_filter
 from quillspark.session import table
 
 
@@ -37,10 +37,14 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(token_files.write(table(spark, sf_dir, "documents"), folder), folder)
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.components(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_pii, op2_sharding, op4_sentencepiece, op5_fingerprints, op6_url_filter, op7_token_files)
+        for f in (op1_pii, op2_sharding, op4_sentencepiece, op5_fingerprints, op6_url_filter, op7_token_files, op8_near_dedup)
     }
 
 
