@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import fingerprint, near_dedup, pieces, pii, sharding, token_files, url_filter
+from quillspark.llm import decontaminate, fingerprint, near_dedup, pieces, pii, quality, sharding, token_files, url_filter
 from quillspark.session import table
 
 
@@ -20,6 +20,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"))
 
@@ -41,10 +45,15 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.components(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.grade(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_pii, op2_sharding, op4_sentencepiece, op5_fingerprints, op6_url_filter, op7_token_files, op8_near_dedup)
+        for f in (op1_pii, op2_sharding, op3_decontamination, op4_sentencepiece, op5_fingerprints, op6_url_filter, op7_token_files, op8_near_dedup, op9_quality)
     }
 
 
