@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontaminate, fingerprint, near_dedup, pieces, pii, quality, sharding, token_files, url_filter
+from quillspark.llm import decontaminate, fingerprint, html_text, near_dedup, pieces, pii, quality, sharding, token_files, url_filter
 from quillspark.session import table
 
 
@@ -50,10 +50,20 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.grade(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_pii, op2_sharding, op3_decontamination, op4_sentencepiece, op5_fingerprints, op6_url_filter, op7_token_files, op8_near_dedup, op9_quality)
+        for f in (op1_pii, op2_sharding, op3_decontamination, op4_sentencepiece, op5_fingerprints, op6_url_filter, op7_token_files, op8_near_dedup, op9_quality, op10_html_text, pipeline)
     }
 
 
