@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm import shingles
-from quillspark.llm.components import connected
+from quillspark.operators.graph import connected
 from quillspark.session import cut, ship_package
 
 PERCENT = 85
