@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.llm.worker_tables import claim
 from quillspark.session import ship_package
 
 MAX_RATIO = 0.1
@@ -233,6 +234,7 @@ _INDEXES: dict[int, Index] = {}
 
 def _index(name: int, items: list[tuple[int, str]]) -> Index:
     """The last index of this worker is kept for its next task."""
+    claim("decontaminate", _INDEXES)
     if name not in _INDEXES:
         _INDEXES.clear()
         _INDEXES[name] = Index(items)

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm import shingles
+from quillspark.llm.worker_tables import claim
 from quillspark.operators.graph import connected
 from quillspark.session import cut, ship_package
 
@@ -47,6 +48,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        claim("shingles", shingles._HASHES)
         for batch in batches:
             sizes, classes, keys = [], [], []
             for text in batch.column(1):
@@ -67,6 +69,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(rep, shingles) of the wanted documents, from their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("shingles", shingles._HASHES)
         for batch in batches:
             sets = [shingles.shingle_set(t.as_py()).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["rep", "shingles"])
@@ -179,6 +182,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows without a doc_id cannot be named by a component and only go where another row repeats them.
     """
-    gone = components(docs).where("doc_id is not null and not kept").select("doc_id").distinct()
-    stays = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
-    return stays.dropDuplicates(["doc_id", "text"])
+    judged = components(docs).select("doc_id", "kept")
+    gone = judged.where("doc_id is not null and not kept").select("doc_id").distinct()
+    # the side of ids is hashed, so the texts are shuffled once and need no sort
+    stays = docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == gone["doc_id"], "left_anti")
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    return stays if repeated.isEmpty() else stays.dropDuplicates(["doc_id", "text"])

@@ -21,11 +21,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from quillspark.llm.worker_tables import claim
 from quillspark.session import ship_package
 
 MODEL = "piece_bpe_32k.model"
 #: Entries of a task's table; one is about 300 bytes.
-TABLE_ENTRIES = 500_000
+TABLE_ENTRIES = 400_000
 #: Characters whose chunks are looked up together.
 PORTION = 1_000_000
 SPACE = "▁"
@@ -118,6 +119,7 @@ def codec(path: str) -> Codec:
     """One codec for each Python worker, kept from task to task."""
     if path not in _CODECS:
         _CODECS[path] = Codec(path)
+    claim("pieces", _CODECS[path].table)
     return _CODECS[path]
 
 

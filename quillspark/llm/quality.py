@@ -27,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.llm.worker_tables import claim
 from quillspark.session import ship_package
 
 GRADES = 3
-MAX_LABELLED = 8000
+MAX_LABELLED = 6000
 KEEP = 0.6
 #: Documents with a feature, at least, and its chi-square over the grades.
 LEAST_SUPPORT, LEAST_CHI2 = 3, 15.0
@@ -42,7 +43,7 @@ DIMENSIONS = 1 << 22
 #: Letters at the beginning of a word that are a feature of their own.
 BEGINNING = 4
 PUNCTUATION = ".,;:!?\"'()[]{}<>|#$%&*+-=/\\_"
-TABLE_ENTRIES = 1_000_000
+TABLE_ENTRIES = 300_000
 
 
 def bucket(token: str) -> int:
@@ -117,14 +118,16 @@ class Model:
             return 1 / (1 + np.exp(np.array(self.thresholds)[None, :] - score[:, None]))
 
 
-def fit(rows: list[list[int]], grades: np.ndarray) -> Model:
-    """The penalised maximum-likelihood fit, by accelerated proximal gradient steps."""
-    n = len(rows)
+def fit(where: np.ndarray, sizes: np.ndarray, grades: np.ndarray) -> Model:
+    """The penalised maximum-likelihood fit, by accelerated proximal gradient steps.
+
+    where has the features of all rows, one row after another; sizes has their numbers.
+    """
+    n = len(sizes)
     if not n or len(set(grades.tolist())) < 2:
         shares = [np.mean(grades > j) if n else 1.0 for j in range(GRADES - 1)]
         return Model({}, tuple(float(np.log((1 - s + 1e-9) / (s + 1e-9))) for s in shares))
-    where = np.concatenate([np.array(r, np.int64) for r in rows])
-    row = np.repeat(np.arange(n), [len(r) for r in rows])
+    row = np.repeat(np.arange(n, dtype=np.int32), sizes)
     names, where = np.unique(where, return_inverse=True)
     observed = np.stack([np.bincount(where, weights=grades[row] == g, minlength=len(names)) for g in range(GRADES)])
     support, share = observed.sum(axis=0), np.array([np.mean(grades == g) for g in range(GRADES)])[:, None]
@@ -186,6 +189,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Mode
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = _Buckets()
+        claim("quality", buckets)
         for batch in batches:
             rows = [features(t.as_py(), buckets) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int32()))], names=["doc_id", "grade", "features"])
@@ -193,7 +197,8 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Mode
     # the chosen labels are bounded by the limit, and so is what comes back
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "grade", "text")
     table = texts.mapInArrow(run, "doc_id long, grade int, features array<int>").toArrow().sort_by("doc_id")
-    return fit(table["features"].to_pylist(), np.array(table["grade"].to_pylist(), np.int64))
+    listed = table["features"].combine_chunks()
+    return fit(listed.flatten().to_numpy(), np.diff(listed.offsets.to_numpy()), table["grade"].to_numpy().astype(np.int64))
 
 
 class _Weights(dict):
@@ -214,6 +219,7 @@ def _table(model: Model) -> _Weights:
     if name not in _TABLES:
         _TABLES.clear()
         _TABLES[name] = _Weights(model)
+    claim("quality", _TABLES[name], _TABLES)
     return _TABLES[name]
 
 

@@ -9,7 +9,7 @@ import numpy as np
 #: Words of a shingle.
 WORDS = 5
 #: Distinct words whose hashes a task keeps.
-TABLE_ENTRIES = 1_000_000
+TABLE_ENTRIES = 300_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 

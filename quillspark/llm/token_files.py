@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillspark.llm.worker_tables import claim
 from quillspark.session import cut, shared_dir, ship_package
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -124,6 +125,7 @@ def encoder(path: str) -> Encoder:
     """One for each Python worker, kept from task to task."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    claim("token_files", _ENCODERS[path].words, _ENCODERS[path].stretches)
     return _ENCODERS[path]
 
 

@@ -24,7 +24,7 @@ def finite_double(value: Column) -> Column:
 
 def tags(value: Column) -> Column:
     """The parts of a cell between ; fullwidth ; and |, trimmed, without empty ones."""
-    return F.filter(F.transform(F.split(value, "[;；|]"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(value, "[;；|]"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def reasons(rules: Mapping[str, Column]) -> Column:
