@@ -32,13 +32,14 @@ from quillspark.session import ship_package
 
 GRADES = 3
 MAX_LABELLED = 6000
-KEEP = 0.6
+KEEP = 0.5
 #: Documents with a feature, at least, and its chi-square over the grades.
 LEAST_SUPPORT, LEAST_CHI2 = 3, 15.0
-PENALTY = 1e-4
+#: The L1 penalty, divided by the number of labelled rows: it weighs as much as a fixed number of rows at any size.
+PENALTY = 1.0
 ROUNDS = 300
 #: Features that the first fit leaves a weight are fitted again under this share of the penalty.
-RELAXED = 0.02
+RELAXED = 0.1
 DIMENSIONS = 1 << 22
 #: Letters at the beginning of a word that are a feature of their own.
 BEGINNING = 4
@@ -152,8 +153,9 @@ def fit(where: np.ndarray, sizes: np.ndarray, grades: np.ndarray) -> Model:
     step_b = 0.5
     indicator = np.eye(GRADES)[grades]
     w, b = np.zeros(len(names)), np.array([np.log(0.1), *[0.0] * (GRADES - 2)])
-    for penalty in (PENALTY, PENALTY * RELAXED):
-        allowed = np.ones(len(names), bool) if penalty == PENALTY else w != 0
+    full = PENALTY / n
+    for penalty in (full, full * RELAXED):
+        allowed = np.ones(len(names), bool) if penalty == full else w != 0
         ahead_w, ahead_b, pace = w, b, 1.0
         for _ in range(ROUNDS):
             t = thresholds(ahead_b)
