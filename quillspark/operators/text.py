@@ -49,8 +49,12 @@ def token_set(text: Column) -> Column:
     words = F.transform(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]{2,}"), F.lit(0)), stem)
     runs = F.regexp_extract_all(text, F.lit(CJK + "{2,}"), F.lit(0))
 
+    def pieces(run: Column, size: int) -> Column:
+        starts = F.when(F.length(run) >= size, F.sequence(F.lit(1), F.length(run) - (size - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.substring(run, i, F.lit(size)))
+
     def grams(run: Column) -> Column:
-        return F.flatten(F.array(*[F.transform(F.when(F.length(run) >= k, F.sequence(F.lit(1), F.length(run) - (k - 1))).otherwise(F.array().cast("array<int>")), lambda i, k=k: F.substring(run, i, F.lit(k))) for k in (2, 3)]))
+        return F.concat(pieces(run, 2), pieces(run, 3))
 
     return F.array_distinct(F.concat(words, F.flatten(F.transform(runs, grams))))
 
