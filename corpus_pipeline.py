@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from quillspark.llm import decontaminate, near_dedup, pieces, pii, quality
 from quillspark.session import shared_dir, table
 
+#: Texts whose sets of five words have a Jaccard similarity of this or more are near-duplicates.
+NEAR_PERCENT = 80
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier keeps; it is fitted on labelled documents of the table as it came."""
@@ -24,7 +27,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the least doc_id, of each group of near-duplicates."""
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, NEAR_PERCENT)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Near-duplicates: one-permutation MinHash, banded buckets, star-shaped candidate edges, exact confirmation.
 
 1. Each text becomes its set of 5-word shingles (64-bit hashes) and one-permutation minima with optimal
-   densification, of which BANDS keys of ROWS minima are made. Texts with the same set are one class, which
+   densification, of which keys are made: so many, each of so many minima, as BANDING has for the threshold. Texts with the same set are one class, which
    its least doc_id stands for.
 2. Classes that share a band key form a bucket; each bucket gives the edges from its least member to the
    others (a star), so the number of candidates is linear in the size of a bucket. Each edge is confirmed on
@@ -11,7 +11,7 @@
    about BLOCK members, and each pair of blocks is compared as a matrix product of full sets in one task of
    bounded size; only a spanning forest of the links it finds is written.
 
-A pair at the threshold of 0.85 misses all bands with a chance of 1e-6; everything after the bands is exact.
+A pair at the threshold misses all bands with a chance of 1e-6; everything after the bands is exact.
 
 Rows with one doc_id are one document that has the links of all its texts. A null doc_id cannot be a
 component's id: such a row gets the component of its equals, or null. Null and empty texts, and texts
@@ -33,17 +33,20 @@ from quillspark.llm.worker_tables import claim
 from quillspark.operators.graph import connected
 from quillspark.session import cut, ship_package
 
+#: The threshold of op8_near_dedup.
 PERCENT = 85
-BANDS, ROWS = 36, 7
+#: Threshold -> keys, and minima of each.
+BANDING = {85: (36, 7), 80: (35, 5)}
 #: Members of a block; a task compares two.
 BLOCK = 256
 #: Columns of the matrices that are multiplied at once.
 COLUMNS = 4096
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, class, keys) of each row; class and keys are null for an empty set."""
     ship_package(docs.sparkSession)
+    count, rows_of_band = BANDING[percent]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -55,7 +58,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 hashes = shingles.shingle_set(text.as_py())
                 sizes.append(len(hashes))
                 classes.append(xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None)
-                keys.append(shingles.bands(hashes, BANDS, ROWS).view(np.int64) if len(hashes) else None)
+                keys.append(shingles.bands(hashes, count, rows_of_band).view(np.int64) if len(hashes) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                 names=["doc_id", "n_shingles", "class", "keys"],
@@ -78,13 +81,13 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "rep long, shingles binary")
 
 
-def _confirm(edges: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirm(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The edges (a, b) that are links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = ([np.frombuffer(x.as_py(), np.uint64) for x in batch.column(k)] for k in (2, 3))
-            keep = pa.array([shingles.linked(x, y, PERCENT) for x, y in zip(a, b, strict=True)], pa.bool_())
+            keep = pa.array([shingles.linked(x, y, percent) for x, y in zip(a, b, strict=True)], pa.bool_())
             yield batch.select([0, 1]).filter(keep)
 
     one = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("a_set"))
@@ -127,14 +130,14 @@ def block_links(reps: np.ndarray, sets: list[np.ndarray], labels: np.ndarray, pe
     return out
 
 
-def _rest(members: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+def _rest(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) inside the buckets that more than one component shares."""
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         if group["label"].nunique() < 2:
             found = []
         else:
-            found = block_links(group["rep"].to_numpy(), [np.frombuffer(x, np.uint64) for x in group["shingles"]], group["label"].to_numpy(), PERCENT)
+            found = block_links(group["rep"].to_numpy(), [np.frombuffer(x, np.uint64) for x in group["shingles"]], group["label"].to_numpy(), percent)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     labelled = members.join(labels, members.rep == labels.node, "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
@@ -155,18 +158,18 @@ def _rest(members: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
     return dealt.join(sets, "rep").groupBy("key", "i", "j").applyInPandas(run, "a long, b long")
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of each row."""
-    found = cut(signatures(docs))
+def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of each row; percent is a key of BANDING."""
+    found = cut(signatures(docs, percent))
     classes = found.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
     banded = classes.where("rep is not null").select("rep", "n", F.explode("keys").alias("key"))
     centres = banded.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("centre"), F.count("*").alias("size")).where("size > 1").select("key", "centre")
     members = cut(banded.join(centres, "key").select("key", "rep", "n", F.col("centre.rep").alias("centre"), F.col("centre.n").alias("centre_n")))
-    alike = (F.col("rep") != F.col("centre")) & (100 * F.least("n", "centre_n") >= PERCENT * F.greatest("n", "centre_n"))
+    alike = (F.col("rep") != F.col("centre")) & (100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n"))
     edges = members.where(alike).select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     sets = cut(_sets(docs, members.select("rep").distinct()))
-    links = cut(_confirm(edges, sets))
-    further = cut(_rest(members, sets, connected(links)))
+    links = cut(_confirm(edges, sets, percent))
+    further = cut(_rest(members, sets, connected(links), percent))
     labels = connected(links.unionByName(further))
     by_class = classes.select("class", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("class", F.coalesce("label", "rep").alias("label"))
     return (
@@ -177,12 +180,12 @@ def components(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of docs, all columns, of which one document of each component stays; repeated rows go to one.
 
     Rows without a doc_id cannot be named by a component and only go where another row repeats them.
     """
-    judged = components(docs).select("doc_id", "kept")
+    judged = components(docs, percent).select("doc_id", "kept")
     gone = judged.where("doc_id is not null and not kept").select("doc_id").distinct()
     # the side of ids is hashed, so the texts are shuffled once and need no sort
     stays = docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == gone["doc_id"], "left_anti")

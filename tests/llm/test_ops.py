@@ -236,6 +236,24 @@ def test_near_dedup_edges(spark):
     assert near_dedup.components(brute.table(spark, []).limit(0)).count() == 0
 
 
+def test_pipeline_near_dedup_at_80_percent(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = {r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, docs, SF).collect()}
+    at = {p: {i for i, (_, c) in brute.components(rows, p).items() if i == c} for p in (80, 85)}
+    assert got == at[80] and len(at[80]) < len(at[85])
+
+
+def test_near_dedup_reaches_the_threshold(spark):
+    words = [f"w{k}" for k in range(200)]
+    # 76 of 95 shingles are 0.8, 76 of 96 are less
+    rows = [(1, " ".join(words[:80])), (2, " ".join(words[:99])), (3, " ".join(words[100:180])), (4, " ".join(words[100:199] + ["x"]))]
+    got = {r.doc_id: r.component_id for r in near_dedup.components(brute.table(spark, rows), 80).collect()}
+    assert got == {i: c for i, (_, c) in brute.components(rows, 80).items()} == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
 def test_block_links_match_pairs():
     rng = np.random.default_rng(5)
     base = np.unique(rng.integers(0, 2**63, 60, np.uint64))
