@@ -113,10 +113,12 @@ def collision_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def near_dup_pairs_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near-equal first lines of turns."""
+    """Near-equal documents and turns, whole texts."""
     ship_package(spark)
-    turns = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.substring_index("text", "\n", 1).alias("text"))
-    return identity.similar_pairs(turns).withColumn("ratio", F.round("ratio", 6))
+    docs = table(spark, sf_dir, "documents").select(F.concat_ws(":", F.lit("document"), "doc_id").alias("id"), "text")
+    turns = table(spark, sf_dir, "conversations").select(F.concat_ws(":", F.lit("turn"), "conv_id", "turn").alias("id"), "text")
+    pairs = identity.similar_pairs(docs).unionByName(identity.similar_pairs(turns))
+    return pairs.withColumn("ratio", F.round("ratio", 6))
 
 
 @query(

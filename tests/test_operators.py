@@ -1,6 +1,8 @@
 """Small fixtures with known answers for the scoring, log, identity, text and source operators."""
 
+import difflib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +98,64 @@ def test_similar_pairs(spark):
     assert [(r.a, r.b) for r in identity.similar_pairs(spark.createDataFrame(rows, "id long, text string")).collect()] == [(1, 2)]
 
 
+def near_texts(seed, n):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abcdeé😀") for _ in range(rng.randint(2, 7))) for _ in range(60)]
+    out = []
+    for _ in range(n):
+        if out and rng.random() < 0.7:
+            text = list(rng.choice(out))
+            for _ in range(rng.choice([0, 1, 5, len(text) // 12]) if len(text) > 30 else 0):
+                at = rng.randrange(8, max(9, len(text)))
+                text[at : at + rng.randint(0, 3)] = rng.choice(["", "x", "yz"])
+            out.append("".join(text))
+        else:
+            out.append(" ".join(rng.choice(words) for _ in range(rng.choice([4, 40, 200]))))
+    return out
+
+
+def brute_near(texts):
+    """(a, b) -> ratio of all pairs of J8, on whole texts."""
+    out = {}
+    for b, y in enumerate(texts):
+        for a, x in enumerate(texts[:b]):
+            if min(len(x), len(y)) >= 16 and min(len(x), len(y)) >= 0.85 * max(len(x), len(y)) and (x[:8] == y[:8] or x[-10:] == y[-10:]):
+                found = difflib.SequenceMatcher(None, x, y, False).ratio()
+                if found >= 0.92:
+                    out[a, b] = found
+    return out
+
+
+def test_matched_is_difflibs():
+    texts = near_texts(1, 60)
+    for x, y in zip(texts, texts[1:] + texts[:1], strict=True):
+        wanted = sum(m.size for m in difflib.SequenceMatcher(None, x, y, False).get_matching_blocks())
+        assert identity.matched(x, y, 0) == wanted and identity.matched(x, y, wanted + 1) is None
+
+
+@pytest.mark.parametrize("block", [8, 256])
+def test_similar_pairs_of_whole_texts(spark, monkeypatch, block):
+    monkeypatch.setattr(identity, "BLOCK", block)
+    ship_package(spark)
+    texts = near_texts(2, 120)
+    least = [texts.index(t) for t in texts]
+    wanted = brute_near(texts)
+    got = {(r.a, r.b): r.ratio for r in identity.similar_pairs(spark.createDataFrame(list(enumerate(texts)), "id long, text string")).collect()}
+    assert got == {p: r for p, r in wanted.items() if (least[p[0]], least[p[1]]) == p or p[0] == least[p[1]]}
+    # every pair follows from the classes
+    assert all(least[a] == least[b] or (min(least[a], least[b]), max(least[a], least[b])) in got for a, b in wanted)
+
+
+def test_near_dup_pairs_compare_what_follows_the_first_line(spark):
+    import __spark_entry__ as entry
+
+    texts = {f"turn:{r.conv_id}:{r.turn}": r.text for r in spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").collect()}
+    texts |= {f"document:{r.doc_id}": r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    got = entry.queries()["near_dup_pairs_blocked"](spark, "/root/testdata/sf0.001").collect()
+    assert any(r.a.startswith("document:") and r.ratio < 1 for r in got)
+    assert all(r.ratio < 1 or texts[r.a] == texts[r.b] for r in got)
+
+
 @pytest.mark.parametrize(
     "url, wanted",
     [
