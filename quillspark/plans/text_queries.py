@@ -108,7 +108,10 @@ def exact_and_tail_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def collision_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identity.collision_groups(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
+    """Groups of documents by equal text, common tail and near-duplicate text."""
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return identity.collision_groups(docs, "doc_id", identity.near_links(docs, "doc_id"))
 
 
 @query()

@@ -1,8 +1,10 @@
 """Small fixtures with known answers for the scoring, log, identity, text and source operators."""
 
+import collections
 import difflib
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -146,6 +148,26 @@ def test_similar_pairs_of_whole_texts(spark, monkeypatch, block):
     assert all(least[a] == least[b] or (min(least[a], least[b]), max(least[a], least[b])) in got for a, b in wanted)
 
 
+def test_collision_groups_join_near_texts_with_other_tails(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    texts = near_texts(5, 60) + ["A long enough text that only its very end tells from the other, one", "A long enough text that only its very end tells from the other, two", None, "", "short"]
+    rows = [(i, t, "s" if i >= 60 else f"s{i % 2}") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    forms = [re.sub(r"\s+", " ", re.sub(r"[\s.,;:!?]+$", "", t or "")).strip().lower() for t in texts]
+    tails = collections.defaultdict(list)
+    for i, f in enumerate(forms):
+        tails[f[-20:] if len(f) >= 24 else i].append(i)
+    links = [*brute_near(forms), *((g[0], x) for g in tails.values() if len(g) >= 3 for x in g), *((forms.index(f), i) for i, f in enumerate(forms) if f)]
+    group = list(range(len(texts)))
+    for a, b in links:
+        low, high = sorted((group[a], group[b]))
+        group = [low if g == high else g for g in group]
+    got = {r.id: r for r in entry.queries()["collision_groups"](spark, str(tmp_path)).collect()}
+    assert [got[i].group for i in range(len(texts))] == group
+    assert got[60].status == got[61].status == "duplicated_extraction" and got[64].status == "unique"
+
+
 def test_near_dup_pairs_compare_what_follows_the_first_line(spark):
     import __spark_entry__ as entry
 
