@@ -32,7 +32,8 @@ from quillspark.session import ship_package
 
 GRADES = 3
 MAX_LABELLED = 6000
-KEEP = 0.5
+#: By three folds of the 3,980 labelled rows of sf0.1: of 0.5 and 0.6, the one that lets fewer toxic texts through.
+KEEP = 0.6
 #: Documents with a feature, at least, and its chi-square over the grades.
 LEAST_SUPPORT, LEAST_CHI2 = 3, 15.0
 #: The L1 penalty, divided by the number of labelled rows: it weighs as much as a fixed number of rows at any size.

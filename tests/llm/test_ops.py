@@ -282,6 +282,17 @@ def test_quality_held_out(spark):
     assert (got.expected_grade >= got.p_best).all() and got.p_best.between(0, 1).all()
 
 
+def test_quality_threshold_at_its_size(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = quality.train(docs, labels.where("doc_id % 3 <> 0"))
+    got = quality.grade(docs, model).join(labels.where("doc_id % 3 = 0"), "doc_id").toPandas()
+    clean, toxic = (got.quality == 1) & (got.toxic == 0), (got.quality == 1) & (got.toxic == 1)
+    assert got[clean].keep.mean() > 0.95 and got[got.quality == 0].keep.mean() < 0.25
+    # even odds let more toxic texts through
+    assert got[toxic].keep.mean() < (got[toxic].p_best >= 0.5).mean()
+
+
 def test_quality_edges(spark):
     docs = brute.table(spark, brute.EDGES)
     labels = spark.createDataFrame([(1, 1, 0), (1, None, 0), (None, 0, 0)], "doc_id long, quality int, toxic int")
