@@ -176,6 +176,13 @@ def lexicon_hits_by_theme(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", text.term_hits(F.col("text"), "the").cast("long").alias("the_hits"), text.term_hits(F.col("text"), "of").cast("long").alias("of_hits"))
 
 
+@query()
+def lexicon_hits_all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lexicon_hits_by_theme over the documents of every language and script, by the operator's own boundaries."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", "lang", text.term_hits(F.col("text"), "the").cast("long").alias("the_hits"), text.term_hits(F.col("text"), "of").cast("long").alias("of_hits"))
+
+
 @query()
 def lexicon_sentiment_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)

@@ -100,6 +100,22 @@ def test_similar_pairs(spark):
     assert [(r.a, r.b) for r in identity.similar_pairs(spark.createDataFrame(rows, "id long, text string")).collect()] == [(1, 2)]
 
 
+def test_lexicon_hits_of_all_documents(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    odd = [(9001, "the_the éthe theé THE of, the1 of\nthe", "fr"), (9002, None, "en"), (9003, "", "de")]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    docs.unionByName(spark.createDataFrame(odd, "doc_id long, text string, lang string")).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.the_hits, r.of_hits) for r in entry.queries()["lexicon_hits_all_documents"](spark, str(tmp_path)).collect()}
+
+    def hits(text, term):
+        words = [w for w in re.split(r"[^A-Za-z0-9]+", text)]
+        return sum(w.lower() == term for w in words)
+
+    wanted = {i: (None, None) if t is None else (hits(t, "the"), hits(t, "of")) for i, t in [*((r.doc_id, r.text) for r in docs.collect()), *((i, t) for i, t, _ in odd)]}
+    assert got == wanted and got[9001] == (6, 2)
+
+
 def near_texts(seed, n):
     rng = random.Random(seed)
     words = ["".join(rng.choice("abcdeé😀") for _ in range(rng.randint(2, 7))) for _ in range(60)]
