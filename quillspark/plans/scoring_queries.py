@@ -269,6 +269,14 @@ def native_rating_rescale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.round(scaled, 6).alias("score"), F.round(scoring.bounded(total), 6).alias("bounded")).where("score is not null")
 
 
+@query()
+def native_rating_rescale_all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """native_rating_rescale with a row for each document: score is null off the scale, bounded is always given."""
+    docs = table(spark, sf_dir, "documents")
+    scaled = scoring.rescaled(F.col("n_chars").cast("double"), F.lit(1.0), F.lit(40001.0))
+    return docs.select("doc_id", F.round(scaled, 6).alias("score"), F.round(scoring.bounded((F.col("n_chars") % 13 - 6).cast("double")), 6).alias("bounded"))
+
+
 @query(
     r"""WITH t AS (SELECT doc_id, length(regexp_replace(text, '\s+', '', 'g')) AS k FROM documents),
 c AS (SELECT doc_id, CASE WHEN k >= 30 THEN 1.0 WHEN k >= 15 THEN 0.8 WHEN k >= 6 THEN 0.6 WHEN k > 0 THEN 0.3 ELSE 0.0 END::DOUBLE AS complete FROM t)

@@ -116,6 +116,15 @@ def test_lexicon_hits_of_all_documents(spark, tmp_path):
     assert got == wanted and got[9001] == (6, 2)
 
 
+def test_rescale_gives_a_row_for_each_document(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    spark.createDataFrame([(k, n) for k, n in enumerate([0, 1, 40001, 40002, 128657])], "doc_id long, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in entry.queries()["native_rating_rescale_all_documents"](spark, str(tmp_path)).collect()}
+    assert [got[k].score for k in range(5)] == [None, -5.0, 5.0, None, None]
+    assert all(got[k].bounded == pytest.approx(5 * x / (x * x + 15) ** 0.5, abs=1e-6) for k, x in enumerate(n % 13 - 6 for n in [0, 1, 40001, 40002, 128657]))
+
+
 def near_texts(seed, n):
     rng = random.Random(seed)
     words = ["".join(rng.choice("abcdeé😀") for _ in range(rng.randint(2, 7))) for _ in range(60)]
