@@ -38,6 +38,15 @@ def page_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.page_entities(pages)
 
 
+@query()
+def page_entities_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_entities by the library's whole canonical form (D1-D5); a URL that is no public one joins nothing."""
+    ship_package(spark)
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("source_id"), "url", F.sha2("html", 256).alias("fingerprint"))
+    known = pages.select("url").distinct().withColumn("canonical", urls.canonical_url("url"))
+    return identity.page_entities(pages.join(known, "url", "left").select("source_id", "canonical", "fingerprint"))
+
+
 EXACT = {"spam-farm.example.org": "spam"}
 PREFIXES = {"www.cheap-pills.example.com/en/": "shop"}
 SUFFIXES = {"example.net": "network", "cheap-pills.example.com": "pills"}

@@ -125,6 +125,24 @@ def test_rescale_gives_a_row_for_each_document(spark, tmp_path):
     assert all(got[k].bounded == pytest.approx(5 * x / (x * x + 15) ** 0.5, abs=1e-6) for k, x in enumerate(n % 13 - 6 for n in [0, 1, 40001, 40002, 128657]))
 
 
+def test_page_entities_by_the_whole_canonical_form(spark, tmp_path):
+    import hashlib
+
+    import __spark_entry__ as entry
+
+    listed = ["http://a.com:80/x?utm_medium=1&b=2", "http://A.com/x?b=2&gclid=3#t", "http://a.com/%78?b=2", "http://10.0.0.1/x", "http://10.0.0.1/x", "http://b.com/", None]
+    html = ["p0", "p1", "p2", "p3", "p4", "p5", "p3"]
+    spark.createDataFrame([(k, u, h) for k, (u, h) in enumerate(zip(listed, html, strict=True))], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.source_id: r.entity for r in entry.queries()["page_entities_canonical"](spark, str(tmp_path)).collect()}
+
+    def name(kind, text):
+        return f"PAGE-{kind}-{hashlib.sha256(text.encode()).hexdigest()[:24]}"
+
+    # 3 and 6 share their content only
+    a = name("URL", urls.canonical(listed[0]))
+    assert [got[k] for k in range(7)] == [a, a, a, name("LEGACY", "3|6"), name("LEGACY", "4"), name("URL", "http://b.com/"), name("LEGACY", "3|6")]
+
+
 def near_texts(seed, n):
     rng = random.Random(seed)
     words = ["".join(rng.choice("abcdeé😀") for _ in range(rng.randint(2, 7))) for _ in range(60)]
