@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ LATIN = r"[A-Za-z\x{00c0}-\x{024f}]"
 CLAUSE_END = r"[。！？!?；;\n]"
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once: inside a lambda Spark would compute it again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def language(text: Column) -> Column:
     """cjk, latin, mixed (the rarer script has at least 12 percent) or none."""
     cjk, latin = F.regexp_count(text, F.lit(CJK)), F.regexp_count(text, F.lit(LATIN))
@@ -81,8 +88,7 @@ def jaccard(a: Column, b: Column) -> Column:
 def without_repeats(text: Column) -> Column:
     """The lines of a text without those equal to the line before them and without empty ones."""
     lines = F.transform(F.split(text, "\n"), lambda x: F.trim(x))
-    kept = F.filter(lines, lambda x, i: (x != "") & ((i == 0) | (x != F.get(lines, i - 1))))
-    return F.array_join(kept, "\n")
+    return bound(lines, lambda own: F.array_join(F.filter(own, lambda x, i: (x != "") & ((i == 0) | (x != F.get(own, i - 1)))), "\n"))
 
 
 def term_hits(text: Column, term: str) -> Column:
@@ -99,7 +105,12 @@ def shared_grams(left: DataFrame, right: DataFrame, key: str, text: str, words:
 
     def grams(df: DataFrame, name: str, column: str) -> DataFrame:
         parts = F.filter(F.split(F.lower(column), r"[^\p{L}\p{N}]+"), lambda x: x != "")
-        spread = F.transform(F.when(F.size(parts) >= words, F.sequence(F.lit(1), F.size(parts) - (words - 1))).otherwise(F.array().cast("array<int>")), lambda i: F.xxhash64(F.array_join(F.slice(parts, i, words), " ")))
+
+        def hashes(own: Column) -> Column:
+            starts = F.when(F.size(own) >= words, F.sequence(F.lit(1), F.size(own) - (words - 1))).otherwise(F.array().cast("array<int>"))
+            return F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(own, i, words), " ")))
+
+        spread = bound(parts, hashes)
         return df.select(F.col(name), F.explode(F.array_distinct(spread)).alias("gram"))
 
     return grams(left, key, text).join(grams(right, "item_id", "item_text"), "gram").groupBy(key, "item_id").agg(F.count("*").alias("n"))
