@@ -4,10 +4,11 @@ Each paragraph (line) is hashed to a wide vector of 60-bit words and a document'
 its paragraphs' vectors, each word modulo 2^60. The sum does not depend on the order of paragraphs; adding
 or taking away a paragraph adds or subtracts its vector (`plus`, `minus`).
 
-The first WIDE words are hashes with different seeds and decide equality. The others are a sketch: each
-carries three lanes of 20 bits, into which a paragraph adds one bit of its hash, so that the difference of
-two documents' sketches estimates the size of the difference of their paragraph multisets (a tug-of-war
-sketch of 3 * SHIFTS signs), which `likeness` turns into a number from 0 to 1.
+The words are slices of a paragraph's SHA-512, so none is a function of another. The first WIDE words, 240
+bits, decide equality. The others are a sketch made from a further slice: each carries three lanes of 20
+bits, into which a paragraph adds one bit of its hash, so that the difference of two documents' sketches
+estimates the size of the difference of their paragraph multisets (a tug-of-war sketch of 3 * SHIFTS
+signs), which `likeness` turns into a number from 0 to 1.
 
 All in Spark SQL functions. Null texts count as empty: one empty paragraph. Equal texts have equal
 fingerprints. Rows with equal doc_ids are ordered by their text, a null doc_id sorts first; other columns
@@ -16,32 +17,50 @@ are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.session import cut
+
 WIDE = 4
 SHIFTS = 20
 LANE_BITS = 20
 WORD = (1 << 60) - 1
 LANES = (1 << 40) | (1 << 20) | 1
-#: Rows that a range of doc_ids should hold; ranges are sorted and read as one group each.
-ROWS_PER_RANGE = 400
+NO_ID = -(1 << 63)
+HEX_DIGITS = 15
+#: Rows of a range of doc_ids, and the number of ranges that is never passed: their bounds, 8 bytes each, are broadcast.
+ROWS_PER_RANGE, MOST_RANGES = 400, 1 << 20
 
 
-def fingerprint(text: Column) -> Column:
-    """array<bigint>: WIDE + SHIFTS words, then the number of paragraphs."""
-    paragraphs = F.split(F.coalesce(text, F.lit("")), "\n", -1)
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    def total(values: Column, word: Column) -> Column:
-        return F.aggregate(values, F.lit(0).cast("long"), lambda acc, x: (acc + word(x)).bitwiseAND(F.lit(WORD)))
 
-    wide = [total(paragraphs, lambda p, i=i: F.xxhash64(p, F.lit(i)).bitwiseAND(F.lit(WORD))) for i in range(WIDE)]
-    hashes = F.transform(paragraphs, lambda p: F.xxhash64(p, F.lit(WIDE)))
-    sketch = F.transform(
-        F.sequence(F.lit(0), F.lit(SHIFTS - 1)),
-        lambda k: F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: (acc + F.call_function("shiftrightunsigned", h, k).bitwiseAND(F.lit(LANES))).bitwiseAND(F.lit(WORD))),
-    )
-    return F.concat(F.array(*wide), sketch, F.array(F.size(paragraphs).cast("long")))
+def _vector(paragraph: Column) -> Column:
+    """What one paragraph adds: WIDE words of its SHA-512, then SHIFTS words of three lanes with a bit each."""
+
+    def words(digest: Column) -> Column:
+        def slice_(k: int) -> Column:
+            return F.conv(F.substring(digest, 1 + HEX_DIGITS * k, HEX_DIGITS), 16, 10).cast("long")
+
+        def lanes(h: Column) -> Column:
+            return F.array(*[F.shiftrightunsigned(h, k).bitwiseAND(F.lit(LANES)) for k in range(SHIFTS)])
+
+        return F.concat(F.array(*[slice_(k) for k in range(WIDE)]), _bound(slice_(WIDE), lanes))
+
+    return _bound(F.sha2(paragraph.cast("binary"), 512), words)
+
+
+def fingerprint(text: Column) -> Column:
+    """array<bigint>: WIDE + SHIFTS words, then the number of paragraphs. Every paragraph is hashed once."""
+    paragraphs = F.split(F.coalesce(text, F.lit("")), "\n", -1)
+    none = F.array_repeat(F.lit(0).cast("long"), WIDE + SHIFTS + 1)
+    one = F.array(F.lit(1).cast("long"))
+    return F.aggregate(paragraphs, none, lambda total, p: plus(total, F.concat(_vector(p), one)))
 
 
 def plus(a: Column, b: Column) -> Column:
@@ -77,15 +96,22 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), 1 - apart / (F.element_at(a, -1) + F.element_at(b, -1))))
 
 
-def _bounds(docs: DataFrame) -> list[int]:
-    """Doc_ids that cut the table into a power of two of ranges; a few longs for each range reach the driver."""
-    n = docs.count()
-    ranges = 1 << max(0, (n // ROWS_PER_RANGE).bit_length())
-    ranges = min(ranges, 1 << 16)
-    if ranges == 1:
-        return []
-    cuts = docs.select(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 4 * ranges)).first()[0]
-    return sorted(cuts or [])
+def _heads(base: DataFrame) -> DataFrame:
+    """(range, head, before): the first doc_id of each range, in order, and the number of the range before it (round the end).
+
+    The ids alone are sorted; a window inside each sorted part takes every so many-th of them. Nothing of it
+    comes to the driver but the number of rows.
+    """
+    ids = base.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("head"))
+    parts = max(int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    step = max(ROWS_PER_RANGE, -(-ids.count() // MOST_RANGES))
+    sorted_ids = cut(ids.repartitionByRange(parts, "head").withColumn("part", F.spark_partition_id()))
+    nth = F.row_number().over(Window.partitionBy("part").orderBy("head"))
+    chosen = sorted_ids.withColumn("nth", nth).where((F.col("nth") - 1) % step == 0).select("head").distinct()
+    whole = Window.orderBy("head")  # a row for each range
+    numbered = chosen.withColumn("range", F.row_number().over(whole) - 1)
+    last = F.max("range").over(Window.orderBy("head").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return cut(numbered.withColumn("before", F.coalesce(F.lag("range").over(whole), last)))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -95,32 +121,19 @@ def with_next(docs: DataFrame) -> DataFrame:
     document of the range that follows as a guest at its end.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    bounds = _bounds(base)
-    known = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    if bounds:
-        table = F.array(*[F.lit(x).cast("long") for x in bounds])
-        steps = [1 << k for k in reversed(range((len(bounds) + 1).bit_length()))]
-        found = F.aggregate(
-            F.array(*[F.lit(s) for s in steps]),
-            F.lit(0),
-            lambda at, s: F.when((at + s <= len(bounds)) & (F.get(table, at + s - 1) <= known), at + s).otherwise(at),
-        )
-    else:
-        found = F.lit(0)
-    placed = base.withColumn("range", found)
-    # one row for each range: its first document, found by id, then its text
-    heads = placed.groupBy("range").agg(F.min(known).alias("head")).collect()
-    heads = sorted((x["range"], x["head"]) for x in heads)
-    if not heads:
-        heads = [(0, None)]
-    guests = [(heads[i - 1][0], head) for i, (_, head) in enumerate(heads)]
-    listed = docs.sparkSession.createDataFrame(guests, "guest_range int, head long")
+    known = F.coalesce("doc_id", F.lit(NO_ID))
+    heads = _heads(base)
+    # one row: at most MOST_RANGES longs
+    bounds = heads.agg(F.array_sort(F.collect_list("head")).alias("bounds"))
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(MOST_RANGES.bit_length()))])
+    found = F.aggregate(steps, F.lit(0), lambda at, s: F.when(F.coalesce(F.get("bounds", at + s) <= known, F.lit(False)), at + s).otherwise(at))
+    placed = base.crossJoin(F.broadcast(bounds)).withColumn("range", found).drop("bounds")
     guest = (
         base.withColumn("head", known)
-        .join(F.broadcast(listed), "head")  # as many rows as ranges, at most 65,536
-        .groupBy("guest_range")
+        .join(F.broadcast(heads.select("head", "before")), "head")
+        .groupBy("before")
         .agg(F.min(F.struct("doc_id", "text")).alias("d"))
-        .select(F.col("d.doc_id").alias("doc_id"), F.col("d.text").alias("text"), F.col("guest_range").alias("range"), F.lit(True).alias("guest"))
+        .select(F.col("d.doc_id").alias("doc_id"), F.col("d.text").alias("text"), F.col("before").alias("range"), F.lit(True).alias("guest"))
     )
     every = placed.withColumn("guest", F.lit(False)).unionByName(guest).withColumn("words", fingerprint(F.col("text")))
     order = Window.partitionBy("range").orderBy("guest", F.col("doc_id").asc_nulls_first(), "text")

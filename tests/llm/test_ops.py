@@ -158,6 +158,27 @@ def test_fingerprint_is_a_multiset_sum(spark):
     assert row.x == row.y == row["sum"] and row.rest == row.p and row.x != row.p
 
 
+def test_fingerprint_words_are_slices_of_a_wide_hash(spark):
+    """Two paragraphs that agree in one word, or in a 64-bit hash, needn't agree in the others."""
+    import hashlib
+
+    rows = spark.createDataFrame([("a line",), ("",), ("Zeile \u00e9",)], "p string")
+    for r in rows.select("p", fingerprint.fingerprint(F.col("p")).alias("w")).collect():
+        digest = hashlib.sha512(r.p.encode()).hexdigest()
+        words = [int(digest[15 * k : 15 * k + 15], 16) for k in range(fingerprint.WIDE + 1)]
+        assert list(r.w[: fingerprint.WIDE]) == words[:-1]
+        assert list(r.w[fingerprint.WIDE : -1]) == [words[-1] >> k & fingerprint.LANES for k in range(fingerprint.SHIFTS)]
+
+
+def test_fingerprint_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "ROWS_PER_RANGE", 3)
+    rows = [(i * 7 % 101, f"text {i}\nline") for i in range(101)] + [(5, "again"), (None, "none")]
+    got = fingerprint.with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    follows = {r: n[1] for r, n in zip(ordered, ordered[1:] + ordered[:1])}
+    assert {(r.doc_id, r.text): r.next_text for r in got} == follows and len(got) == len(rows)
+
+
 def test_fingerprint_edges(spark):
     got = fingerprint.report(brute.table(spark, brute.EDGES)).collect()
     assert len(got) == len(brute.EDGES)
