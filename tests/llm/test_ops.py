@@ -105,6 +105,71 @@ def test_decontamination_edges(spark):
     assert decontaminate.hits(docs, items.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("script", ["latin", "unspaced"])
+@pytest.mark.parametrize("kind", ["replaced", "inserted", "deleted", "clustered"])
+def test_decontamination_recall(script, kind):
+    """Items of 16 to 300 characters with up to 9 % edits, glued into other text where the script has no spaces."""
+    rng = random.Random(f"{script} {kind}")
+    letters = "abcdefghijklmnopqrstuvwxyz" if script == "latin" else [chr(0x4E00 + i) for i in range(1200)]
+
+    def prose(n):
+        if script == "latin":
+            return " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(n))[:n].strip()
+        return "".join(rng.choices(letters, [1 / (i + 3) for i in range(len(letters))], k=n))
+
+    def edited(text):
+        chars, n = list(text), int(rng.choice([0, 0.03, 0.06, 0.09]) * len(text))
+        place = rng.randrange(len(chars) - n)
+        for k in range(n):
+            at = place + k if kind == "clustered" else rng.randrange(len(chars))
+            if kind == "inserted":
+                chars.insert(at, rng.choice(letters))
+            elif kind == "deleted":
+                del chars[at]
+            else:
+                chars[at] = rng.choice(letters)
+        return "".join(chars)
+
+    items = [prose(rng.choice([16, 24, 40, 62, 90, 140, 300])) for _ in range(120)]
+    index = decontaminate.Index(list(enumerate(items)))
+    glue = " " if script == "latin" else ""
+    texts = [f"{prose(200)}{glue}{edited(x)}{glue}{prose(200)}" for x in items]
+    found = {(d, k): (a, b) for d, k, a, b, _ in index.find(texts)}
+    due = 0
+    for k, text in enumerate(texts):
+        codes = np.concatenate([[32], decontaminate.normalised([text])[0]])
+        distance, _ = decontaminate._best(decontaminate._pattern(index.items[k]), len(index.items[k]), codes)
+        due += distance <= index.slack[k]
+    assert due > 90
+    assert sum((k, k) in found for k in range(len(items))) >= 0.95 * due
+    assert all(d == k for d, k in found)
+
+
+def test_decontamination_verbatim_without_spaces():
+    item = "".join(chr(0x4E00 + i * 37 % 2000) for i in range(62))
+    index = decontaminate.Index([(7, item), (8, "中文"), (9, "no"), (10, "ok then")])
+    text = chr(0x5000) * 33 + item + chr(0x5001) * 20 + "中文字 nothing, NO! ok thence"
+    got = {(k, text[a:b]) for _, k, a, b, _ in index.find(["", text])}
+    assert got == {(7, item), (8, "中文"), (9, "NO")}
+
+
+def test_decontamination_every_copy_of_a_run():
+    item = "a sentence that is long enough to be taken for a benchmark item of its own kind"
+    index = decontaminate.Index([(1, item)])
+    text = f"{item} {item}. Other words between them, then {item.replace('long', 'lonk')} {item[:-30]}"
+    assert [(text[a:b], n) for _, _, a, b, n in sorted(index.find([text]))] == [(item, 0), (item, 0), (item.replace("long", "lonk"), 1)]
+
+
+def test_decontamination_by_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)
+    items = spark.createDataFrame([(k, f"the item with number {k * 7919} is a text of some length {k * 104729} and ends here") for k in range(7)], "item_id long, text string")
+    listed = {r.item_id: r.text for r in items.collect()}
+    docs = brute.table(spark, [(k, f"before {listed[k]} after") for k in range(7)] + [(100, "clean"), (None, None)])
+    assert {(r.doc_id, r.item_id) for r in decontaminate.report(docs, items).collect()} >= {(k, k) for k in range(7)}
+    assert sorted(r.doc_id or -1 for r in decontaminate.clean(docs, items).collect()) == [-1, 100]
+    assert decontaminate.report(docs.limit(0), items).count() == decontaminate.clean(docs.limit(0), items).count() == 0
+
+
 def test_best_alignment_is_exact():
     rng = np.random.default_rng(0)
     for _ in range(200):
