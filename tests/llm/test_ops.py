@@ -428,6 +428,39 @@ def test_html_edges(spark):
     assert [got[k] for k in range(6)] == [""] * 6 and got[7] == "T & U\n\none two A b\n\nthree"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div id="page"><div class="col"><p>{0}</p><p>{1}</p></div></div>',
+        '<div class="layout"><span>{0}</span><p>{1}</p></div>',
+        "<p>{0}</p><p>{1}</p>",
+        '<table><tr><td><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul></td><td><div>{0}</div><div>{1}</div></td></tr></table><div id="footer">All rights reserved</div>',
+        '<nav><a href="/">Home</a></nav><section><h2>{0}</h2><noscript>{1}</noscript></section><div class="sidebar"><p>Other things</p></div>',
+    ],
+)
+def test_html_layouts_without_telling_names(page):
+    words = "The river rose again in the night, and by morning the lower road was under water. Nobody was hurt. "
+    blocks = [words.strip(), (words * 3).strip()]
+    assert html_text.main_texts([f"<html><body>{page.format(*blocks)}</body></html>"], html_text.model()) == ["\n\n".join(blocks)]
+
+
+@pytest.mark.parametrize("flood", ["<a ", '<p x="', '<p a=">"', "<", "</p>", "<!-", "<svg>", "<div>", "<label><li></li>", "&amp", "<li><div><label>", "<title>", "<h1><p>", "a<b", "<td>"])
+def test_html_floods_are_read_in_linear_time(flood):
+    import time
+
+    trees = html_text.model()
+    began = time.time()
+    html_text.main_texts([flood * (1_000_000 // len(flood)), "<p>x" + flood * 40_000 + ">"], trees)
+    assert time.time() - began < 40
+
+
+def test_html_deep_nesting_keeps_text(spark):
+    words = "The river rose again in the night, and by morning the lower road was under water. Nobody was hurt."
+    pages = spark.createDataFrame([(1, None, "<div>" * 100_000 + words + "</div>" * 100_000), (1, None, f"<p>{words}"), (None, "u", f"<p>{words}")], "page_id long, url string, html string")
+    assert [r.text for r in html_text.extract(pages).collect()] == [words] * 3
+    assert html_text.extract(pages.limit(0)).count() == 0
+
+
 def test_kept_nodes_have_kept_parents():
     rng = np.random.default_rng(3)
     parent = np.array([-1, *[rng.integers(0, k) for k in range(1, 200)]])
