@@ -57,7 +57,7 @@ class Class:
 
 
 #: An item takes the first class whose steps are at most two thirds of its length, or the last one.
-CLASSES = (Class(40, 12, 4, 4), Class(20, 8, 4, 2), Class(10, 7, 3, 1), Class(4, 4, 1, 1), Class(2, 2, 1, 1), Class(1, 1, 1, 1))
+CLASSES = (Class(60, 12, 5, 5), Class(40, 12, 5, 5), Class(20, 8, 4, 2), Class(10, 7, 3, 1), Class(4, 4, 1, 1), Class(2, 2, 1, 1), Class(1, 1, 1, 1))
 #: Bytes of items that one scan of the documents carries.
 BLOCK_BYTES = 16 << 20
 #: Characters that are normalised and embedded together, and windows that are.
@@ -98,16 +98,21 @@ def _samples(kind: Class) -> list[list[tuple[int, np.uint64]]]:
     ]
 
 
-def _hashes(values: np.ndarray, at: np.ndarray, kind: Class) -> np.ndarray:
-    """(repeats, windows): the hashes of the sampled steps of each window's walk."""
+def _walk(values: np.ndarray, at: np.ndarray, steps: int) -> list[np.ndarray]:
+    """What the walk of each window writes, step by step; a shorter walk is the beginning of a longer one."""
     place = at.astype(np.int64)
     seen = []
-    for step in range(kind.steps):
+    for step in range(steps):
         seen.append(values[place])
-        place += ((seen[-1] >> np.uint64(step)) & np.uint64(1)).astype(np.int64)
-    out = np.empty((kind.repeats, len(at)), np.uint64)
+        place += ((seen[-1] >> np.uint64(step)) & np.uint64(1)).view(np.int64)
+    return seen
+
+
+def _hashes(seen: list[np.ndarray], kind: Class) -> np.ndarray:
+    """(repeats, windows): the hashes of the sampled steps of each window's walk."""
+    out = np.empty((kind.repeats, len(seen[0])), np.uint64)
     for r, chosen in enumerate(_samples(kind)):
-        total = np.full(len(at), r + 1, np.uint64)
+        total = np.full(len(seen[0]), r + 1, np.uint64)
         for step, factor in chosen:
             total += seen[step] * factor
         total ^= total >> np.uint64(29)
@@ -140,7 +145,7 @@ class _Table:
         offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         at = np.repeat(begins, counts) + offset
         values = _walk_values()[codes & 4095]
-        hashes = np.concatenate([_hashes(values, at[k : k + WINDOWS], kind) for k in range(0, len(at), WINDOWS)], axis=1)
+        hashes = np.concatenate([_hashes(_walk(values, at[k : k + WINDOWS], kind.steps), kind) for k in range(0, len(at), WINDOWS)], axis=1)
         order = np.argsort(hashes, axis=None, kind="stable")
         self.hashes = hashes.reshape(-1)[order]
         which = order % len(at)
@@ -150,21 +155,15 @@ class _Table:
         self.known = np.zeros(1 << bits, bool)
         self.known[(self.hashes >> self.shift).astype(np.int64)] = True
 
-    def candidates(self, values: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
-        """(item, begin) of each item that a window between two places points to."""
-        items, begins = [], []
-        every = np.arange(low, high, self.kind.stride)
-        for k in range(0, len(every), WINDOWS):
-            at = every[k : k + WINDOWS]
-            hashes = _hashes(values, at, self.kind)
-            row, column = np.nonzero(self.known[(hashes >> self.shift).astype(np.int64)])
-            own = hashes[row, column]
-            first, last = np.searchsorted(self.hashes, own, "left"), np.searchsorted(self.hashes, own, "right")
-            times = last - first
-            entry = np.repeat(first, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            items.append(self.owner[entry])
-            begins.append(np.repeat(at[column], times) - self.offset[entry])
-        return np.concatenate(items or [np.zeros(0, np.int32)]), np.concatenate(begins or [np.zeros(0, np.int64)])
+    def candidates(self, at: np.ndarray, seen: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(item, begin) of each item that one of the windows points to."""
+        hashes = _hashes(seen, self.kind)
+        row, column = np.nonzero(self.known[(hashes >> self.shift).view(np.int64)])
+        own = hashes[row, column]
+        first, last = np.searchsorted(self.hashes, own, "left"), np.searchsorted(self.hashes, own, "right")
+        times = last - first
+        entry = np.repeat(first, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        return self.owner[entry], np.repeat(at[column], times) - self.offset[entry]
 
 
 class Index:
@@ -182,7 +181,10 @@ class Index:
             if len(x):
                 kind = next((c for c in CLASSES if 3 * c.steps <= 2 * len(x)), CLASSES[-1])
                 by_class.setdefault(kind, {})[k] = x
-        self.tables = [_Table(kind, patterns) for kind, patterns in by_class.items()]
+        #: stride -> the tables of its classes, which share their walks
+        self.tables: dict[int, list[_Table]] = {}
+        for kind, patterns in by_class.items():
+            self.tables.setdefault(kind.stride, []).append(_Table(kind, patterns))
         self.masks: dict[int, tuple[dict[int, int], dict[int, int]]] = {}
         self.grams = [np.unique(_grams(x), return_counts=True) for x in self.items]
 
@@ -215,45 +217,54 @@ class Index:
                 # neighbours may share the space between them
                 left += [(low, start + int(codes[start] == SPACE)), (end - int(codes[end - 1] == SPACE), high)]
 
+    def _candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, begin) of the places where an item may stand; for an item that allows no edit, those where it does."""
+        values = _walk_values()[np.concatenate([codes, np.full(CLASSES[0].steps, SPACE, np.uint32)]) & 4095]
+        found = [(np.zeros(0, np.int32), np.zeros(0, np.int64))]
+        for stride, tables in self.tables.items():
+            every, steps = np.arange(0, len(codes), stride), max(t.kind.steps for t in tables)
+            for k in range(0, len(every), WINDOWS):
+                at = every[k : k + WINDOWS]
+                seen = _walk(values, at, steps)
+                found += [t.candidates(at, seen) for t in tables]
+        item, begin = (np.concatenate(x) for x in zip(*found, strict=True))
+        keep = np.ones(len(item), bool)
+        exact = np.flatnonzero(np.array(self.slack)[item] == 0) if len(item) else item
+        for k in np.unique(item[exact]).tolist():  # equality is seen at once for all places
+            own = exact[item[exact] == k]
+            fits = (begin[own] >= 0) & (begin[own] + len(self.items[k]) <= len(codes))
+            for j, c in enumerate(self.items[k].tolist()):
+                fits &= codes[np.clip(begin[own] + j, 0, len(codes) - 1)] == c
+            keep[own] = fits
+        return item[keep], begin[keep]
+
     def find(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
         """(text number, item id, start, end, distance) of the hits, in code points of the text, end exclusive."""
         codes, origin, starts = normalised(texts)
         begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
         # a space ahead of the first text, as there is one after each
         codes, origin, starts = np.concatenate([[SPACE], codes]).astype(np.uint32), np.concatenate([[0], origin]), starts + 1
-        values = _walk_values()[np.concatenate([codes, np.full(CLASSES[0].steps, SPACE, np.uint32)]) & 4095]
+        item, begin = self._candidates(codes)
+        if not len(item):
+            return
         grams = _grams(codes)
-        for table in self.tables:
-            item, begin = table.candidates(values, 0, len(codes))
-            if not len(item):
-                continue
-            sizes, slacks = np.array([len(x) for x in self.items]), np.array(self.slack)
-            exact = np.flatnonzero(slacks[item] == 0)
-            keep = np.ones(len(item), bool)
-            for k in np.unique(item[exact]).tolist():  # equality is seen at once for all places
-                own = exact[item[exact] == k]
-                own_begin = begin[own]
-                fits = (own_begin >= 0) & (own_begin + sizes[k] <= len(codes))
-                for j, c in enumerate(self.items[k].tolist()):
-                    fits &= codes[np.clip(own_begin + j, 0, len(codes) - 1)] == c
-                keep[own] = fits
-            item, begin = item[keep], begin[keep]
-            middle = np.clip(begin + sizes[item] // 2, 0, len(codes) - 1)
-            doc = np.maximum(np.searchsorted(starts, middle, "right") - 1, 0)
-            margin = slacks[item] + 2
-            low = np.maximum(begin - margin, starts[doc] - 1)
-            high = np.minimum(begin + sizes[item] + margin, starts[np.minimum(doc + 1, len(texts))])
-            order = np.lexsort((low, item, doc))
-            joined: list[list[int]] = []
-            for d, k, a, b in zip(doc[order].tolist(), item[order].tolist(), low[order].tolist(), high[order].tolist(), strict=True):
-                if joined and joined[-1][:2] == [d, k] and a <= joined[-1][3]:
-                    joined[-1][3] = max(b, joined[-1][3])
-                else:
-                    joined.append([d, k, a, b])
-            for d, k, a, b in joined:
-                for start, end, distance in self._aligned(k, codes, grams, a, b):
-                    start, end = start + int(codes[start] == SPACE), end - int(codes[end - 1] == SPACE)
-                    yield d, self.ids[k], int(origin[start] - begins[d]), int(origin[end - 1] + 1 - begins[d]), distance
+        sizes, slacks = np.array([len(x) for x in self.items]), np.array(self.slack)
+        middle = np.clip(begin + sizes[item] // 2, 0, len(codes) - 1)
+        doc = np.maximum(np.searchsorted(starts, middle, "right") - 1, 0)
+        margin = slacks[item] + 2
+        low = np.maximum(begin - margin, starts[doc] - 1)
+        high = np.minimum(begin + sizes[item] + margin, starts[np.minimum(doc + 1, len(texts))])
+        order = np.lexsort((low, item, doc))
+        joined: list[list[int]] = []
+        for d, k, a, b in zip(doc[order].tolist(), item[order].tolist(), low[order].tolist(), high[order].tolist(), strict=True):
+            if joined and joined[-1][:2] == [d, k] and a <= joined[-1][3]:
+                joined[-1][3] = max(b, joined[-1][3])
+            else:
+                joined.append([d, k, a, b])
+        for d, k, a, b in joined:
+            for start, end, distance in self._aligned(k, codes, grams, a, b):
+                start, end = start + int(codes[start] == SPACE), end - int(codes[end - 1] == SPACE)
+                yield d, self.ids[k], int(origin[start] - begins[d]), int(origin[end - 1] + 1 - begins[d]), distance
 
 
 def _grams(codes: np.ndarray) -> np.ndarray:
