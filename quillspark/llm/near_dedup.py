@@ -7,9 +7,12 @@
    others (a star), so the number of candidates is linear in the size of a bucket. Each edge is confirmed on
    the full sets, and the links give components.
 3. A bucket whose members are not all in one component by now may still hide a link between two members
-   that are not like its centre. Such buckets (one for each distinct set of members) are cut into blocks of
-   about BLOCK members, and each pair of blocks is compared as a matrix product of full sets in one task of
-   bounded size; only a spanning forest of the links it finds is written.
+   that are not like its centre. While more than BLOCK members of such a bucket are outside its largest
+   component, CENTRES of them are further centres, compared with all members of other components (linear in
+   the bucket), and members of which too few shingles stand in any other set are out, as they can have no
+   link. What is then left is exact: the members outside the largest component are compared with all, those
+   inside it not with each other. Both are cut into blocks of bounded numbers of members and shingles, and
+   a pair of blocks is one task's matrix product of full sets, which writes a spanning forest of its links.
 
 A pair at the threshold misses all bands with a chance of 1e-6; everything after the bands is exact.
 
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm import shingles
@@ -37,8 +40,10 @@ from quillspark.session import cut, ship_package
 PERCENT = 85
 #: Threshold -> keys, and minima of each.
 BANDING = {85: (36, 7), 80: (35, 5)}
-#: Members of a block; a task compares two.
-BLOCK = 256
+#: Members of a block, and their shingles; a task compares two blocks.
+BLOCK, BLOCK_SHINGLES = 256, 2_000_000
+#: Further centres of a large open bucket in each round, and rounds.
+CENTRES, CENTRE_ROUNDS = 8, 3
 #: Columns of the matrices that are multiplied at once.
 COLUMNS = 4096
 
@@ -82,7 +87,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _confirm(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The edges (a, b) that are links."""
+    """The edges (a, b, n) that are links; n is the number of b's shingles. A hot centre's edges are dealt to copies of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,9 +95,11 @@ def _confirm(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = pa.array([shingles.linked(x, y, percent) for x, y in zip(a, b, strict=True)], pa.bool_())
             yield batch.select([0, 1]).filter(keep)
 
-    one = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("a_set"))
-    two = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("b_set"))
-    return edges.join(one, "a").join(two, "b").select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long")
+    parts = edges.groupBy("a").agg(F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK)).cast("int").alias("parts"))
+    one = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("a_set")), "a")
+    dealt = edges.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
+    two = dealt.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("b_set")), "b")
+    return two.join(one, ["a", "part"]).select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long")
 
 
 def block_links(reps: np.ndarray, sets: list[np.ndarray], labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -130,8 +137,57 @@ def block_links(reps: np.ndarray, sets: list[np.ndarray], labels: np.ndarray, pe
     return out
 
 
-def _rest(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) inside the buckets that more than one component shares."""
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    return members.join(labels, members.rep == labels.node, "left").select("key", "rep", "n", F.coalesce("label", "rep").alias("label"))
+
+
+def _open_buckets(labelled: DataFrame) -> DataFrame:
+    """(key, main, inside, inside_n, outside, outside_n) of each bucket of several components: the label of the largest, and members and shingles in and outside it.
+
+    Of buckets with the same members one is given.
+    """
+    by_label = labelled.groupBy("key", "label").agg(
+        F.count("*").alias("m"), F.sum("n").alias("n"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y")
+    )
+    by_key = by_label.groupBy("key").agg(
+        F.max(F.struct("m", (-F.col("label")).alias("back"), "n")).alias("top"), F.sum("m").alias("m"), F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"), F.count("*").alias("labels")
+    )
+    kept = by_key.where("labels > 1").groupBy("m", "x", "y").agg(F.min(F.struct("key", "top", "n")).alias("b"))
+    return kept.select(
+        "b.key", (-F.col("b.top.back")).alias("main"), F.col("b.top.m").alias("inside"), F.col("b.top.n").alias("inside_n"), (F.col("m") - F.col("b.top.m")).alias("outside"), (F.col("b.n") - F.col("b.top.n")).alias("outside_n")
+    )
+
+
+def _further_edges(labelled: DataFrame, buckets: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Edges (a, b, n) from CENTRES members outside the largest component of each bucket to all members of other components."""
+    here = labelled.join(buckets.select("key", "main"), "key")
+    draw = F.struct(F.xxhash64("rep", F.lit(turn)).alias("draw"), "rep", "n", "label")
+    # the least few of each bucket, by partial aggregation: one for each of CENTRES groups of hashes
+    lot = F.pmod(F.xxhash64("rep", F.lit(-turn)), F.lit(CENTRES))
+    centres = here.where("label <> main").groupBy("key", lot.alias("lot")).agg(F.min(draw).alias("c")).select("key", F.col("c.rep").alias("a"), F.col("c.n").alias("a_n"), F.col("c.label").alias("a_label"))
+    alike = (F.col("rep") != F.col("a")) & (F.col("label") != F.col("a_label")) & (100 * F.least("n", "a_n") >= percent * F.greatest("n", "a_n"))
+    return here.join(centres, "key").where(alike).select("a", F.col("rep").alias("b"), "n").distinct()
+
+
+def _hopeless(reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(rep) of sets of which fewer than percent of the shingles stand in any other of the sets."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rep, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = np.frombuffer(data, np.int64)
+                for k in range(0, len(own), 100_000):
+                    part = own[k : k + 100_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), rep)), pa.array(part)], names=["rep", "shingle"])
+
+    rows = cut(sets.join(reps.select("rep").distinct(), "rep", "left_semi").mapInArrow(spread, "rep long, shingle long"))
+    alone = rows.groupBy("shingle").agg(F.count("*").alias("holders"), F.min("rep").alias("rep")).where("holders = 1").groupBy("rep").agg(F.count("*").alias("alone"))
+    sizes = rows.groupBy("rep").agg(F.count("*").alias("n"))
+    return sizes.join(alone, "rep").where(100 * (F.col("n") - F.col("alone")) < percent * F.col("n")).select("rep")
+
+
+def _rest(labelled: DataFrame, buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the components of the open buckets."""
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         if group["label"].nunique() < 2:
@@ -140,21 +196,17 @@ def _rest(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
             found = block_links(group["rep"].to_numpy(), [np.frombuffer(x, np.uint64) for x in group["shingles"]], group["label"].to_numpy(), percent)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    labelled = members.join(labels, members.rep == labels.node, "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
-    open_buckets = (
-        labelled.groupBy("key")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"))
-        .where("low <> high")
-        .groupBy("size", "x", "y")
-        .agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    )
-    dealt = (
-        labelled.join(open_buckets, "key")
-        .withColumn("own", F.pmod(F.xxhash64("rep", F.lit(2)), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", "rep", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    )
+    def blocks(rows: str, size: str) -> Column:
+        return F.ceil(F.greatest(F.col(rows) / BLOCK, F.col(size) / BLOCK_SHINGLES)).cast("int")
+
+    small = (F.col("inside") + F.col("outside") <= BLOCK) & (F.col("inside_n") + F.col("outside_n") <= BLOCK_SHINGLES)
+    cuts = buckets.select("key", "main", small.alias("small"), F.when(small, 1).otherwise(blocks("outside", "outside_n")).alias("outer"), F.when(small, 0).otherwise(blocks("inside", "inside_n")).alias("inner"))
+    # blocks 0 to outer - 1 are outside the largest component; each is compared with all, the later ones only with these
+    inside = ~F.col("small") & (F.col("label") == F.col("main"))
+    lot = F.xxhash64("rep", F.lit(2))
+    own = F.when(inside, F.col("outer") + F.pmod(lot, F.col("inner"))).otherwise(F.pmod(lot, F.col("outer"))).cast("int")
+    others = F.sequence(F.lit(0), F.when(inside, F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1)
+    dealt = labelled.join(cuts, "key").withColumn("own", own).withColumn("other", F.explode(others)).select("key", "rep", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     return dealt.join(sets, "rep").groupBy("key", "i", "j").applyInPandas(run, "a long, b long")
 
 
@@ -166,11 +218,25 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     centres = banded.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("centre"), F.count("*").alias("size")).where("size > 1").select("key", "centre")
     members = cut(banded.join(centres, "key").select("key", "rep", "n", F.col("centre.rep").alias("centre"), F.col("centre.n").alias("centre_n")))
     alike = (F.col("rep") != F.col("centre")) & (100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n"))
-    edges = members.where(alike).select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    edges = members.where(alike).select(F.col("centre").alias("a"), F.col("rep").alias("b"), "n").distinct()
     sets = cut(_sets(docs, members.select("rep").distinct()))
     links = cut(_confirm(edges, sets, percent))
-    further = cut(_rest(members, sets, connected(links), percent))
-    labels = connected(links.unionByName(further))
+    members = members.select("key", "rep", "n")
+    for turn in range(CENTRE_ROUNDS + 1):
+        labels = connected(links)
+        labelled = _labelled(members, labels)
+        buckets = cut(_open_buckets(labelled))
+        large = buckets.where(F.col("outside") > BLOCK)
+        if large.isEmpty():
+            break
+        if turn == CENTRE_ROUNDS:
+            held = labelled.join(large.select("key"), "key", "left_semi").select("key", "rep")
+            gone = cut(held.join(_hopeless(held, sets, percent), "rep").select("key", "rep"))
+            labelled = labelled.join(gone, ["key", "rep"], "left_anti")
+            buckets = cut(_open_buckets(labelled))
+        else:
+            links = cut(links.unionByName(_confirm(_further_edges(labelled, large, turn + 1, percent), sets, percent)))
+    labels = connected(links.unionByName(cut(_rest(labelled, buckets, sets, percent))))
     by_class = classes.select("class", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("class", F.coalesce("label", "rep").alias("label"))
     return (
         found.select("doc_id", "n_shingles", "class")

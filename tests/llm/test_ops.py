@@ -340,6 +340,35 @@ def test_near_dedup_reaches_the_threshold(spark):
     assert got == {i: c for i, (_, c) in brute.components(rows, 80).items()} == {1: 1, 2: 1, 3: 3, 4: 4}
 
 
+def test_near_dedup_large_open_buckets(spark, monkeypatch):
+    """Buckets of many members that are not like their centre: further centres, hopeless members and blocks lose no link."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 3000)
+    monkeypatch.setattr(near_dedup, "CENTRE_ROUNDS", 1)
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(5000)}" for _ in range(160)]
+
+    def changed(words, n):
+        words = list(words)
+        for _ in range(n):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        return " ".join(words)
+
+    rows = [(i, changed(base, rng.randrange(0, 7))) for i in range(60)] + [(100 + i, changed(changed(base, 3).split(), rng.randrange(0, 2))) for i in range(20)]
+    want = {i: c for i, (_, c) in brute.components(rows).items()}
+    got = {r.doc_id: r.component_id for r in near_dedup.components(brute.table(spark, rows)).collect()}
+    assert got == want and len(set(want.values())) > 3
+
+
+def test_connected_with_hot_nodes(spark, monkeypatch):
+    from quillspark.operators import graph
+
+    monkeypatch.setattr(graph, "HOT", 5)
+    links = [(0, k) for k in range(1, 40)] + [(50, 51), (51, 52), (39, 60), (60, 61)]
+    got = {r.node: r.label for r in graph.connected(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{k: 0 for k in [*range(40), 60, 61]}, 50: 50, 51: 50, 52: 50}
+
+
 def test_block_links_match_pairs():
     rng = np.random.default_rng(5)
     base = np.unique(rng.integers(0, 2**63, 60, np.uint64))
