@@ -94,17 +94,30 @@ def gap_matrix(scored: DataFrame, rows: DataFrame, columns: DataFrame, success:
     )
 
 
-def termination(completed: Column, budget_left: Column, low: Column, blocked: Column, gaps: Column, rounds: Column, most_rounds: int = 5) -> Column:
-    """Why retrieval ends; the first condition that holds decides."""
-    return (
-        F.when(gaps == 0, "targets_met")
-        .when(blocked, "route_blocked")
-        .when(~completed, "round_incomplete")
-        .when(budget_left <= 0, "budget_exhausted")
-        .when(rounds >= most_rounds, "rounds_exhausted")
-        .when(low, "low_yield")
-        .otherwise("continue")
-    )
+#: Fixed values (R9): outcomes of retrieval in the order in which they are tried, and whether each ends it.
+OUTCOMES = (
+    ("unrecoverable_error", True),
+    ("retrieval_control_invalid", False),
+    ("target_met", True),
+    ("dimension_exhausted_with_shortfall", True),
+    ("all_dimensions_formally_terminal", True),
+    ("round_sequence_incomplete", False),
+    ("query_budget_reached_without_dimension_exhaustion", False),
+    ("round_budget_reached_without_dimension_exhaustion", False),
+    ("dimension_query_budgets_reached_without_exhaustion", False),
+    ("source_blocked_pending_dimension_audit", False),
+    ("route_exhausted_pending_dimension_audit", False),
+    ("evidence_shortfall", False),
+)
+
+
+def termination(facts: dict[str, Column]) -> Column:
+    """struct(outcome, terminal): the first of OUTCOMES whose fact is true; without any, evidence_shortfall."""
+    missing = {name for name, _ in OUTCOMES[:-1]} - set(facts)
+    if missing:
+        raise ValueError(f"no fact for {sorted(missing)}")
+    name = F.coalesce(*[F.when(facts[n], F.lit(n)) for n, _ in OUTCOMES[:-1]], F.lit(OUTCOMES[-1][0]))
+    return F.struct(name.alias("outcome"), name.isin(*[n for n, ends in OUTCOMES if ends]).alias("terminal"))
 
 
 def dimension_status(units: Column, medium: Column, high: Column, exhausted: Column) -> Column:

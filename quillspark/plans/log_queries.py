@@ -124,16 +124,32 @@ def gap_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     LOG
-    + """, u AS (SELECT user_id, count(*) AS attempts, max(round) AS rounds, count(DISTINCT intent) AS intents, max_by(status, ts) AS last, sum(CAST(gain AS DECIMAL(18,2)))::DOUBLE AS gain FROM log GROUP BY user_id)
-SELECT user_id, CASE WHEN greatest(0, 45 - intents) = 0 THEN 'targets_met' WHEN last = 'error' THEN 'route_blocked' WHEN last = 'view' THEN 'round_incomplete' WHEN 70 - attempts <= 0 THEN 'budget_exhausted'
-WHEN rounds >= 31 THEN 'rounds_exhausted' WHEN gain < 500.0 THEN 'low_yield' ELSE 'continue' END AS outcome FROM u"""
+    + """, u AS (SELECT user_id, count(*) AS attempts, max(round) AS rounds, count(DISTINCT intent) AS intents, max_by(status, ts) AS last, sum(CAST(gain AS DECIMAL(18,2)))::DOUBLE AS gain FROM log GROUP BY user_id),
+o AS (SELECT user_id, CASE WHEN attempts > 85 THEN 1 WHEN gain > 3000 THEN 2 WHEN intents >= 50 THEN 3 WHEN intents >= 48 AND last = 'view' THEN 4 WHEN intents >= 48 THEN 5 WHEN rounds < 28 THEN 6 WHEN attempts >= 76 THEN 7
+WHEN rounds = 28 THEN 8 WHEN attempts >= 70 THEN 9 WHEN last = 'error' THEN 10 WHEN last = 'signup' THEN 11 ELSE 12 END AS k FROM u)
+SELECT user_id, ['unrecoverable_error', 'retrieval_control_invalid', 'target_met', 'dimension_exhausted_with_shortfall', 'all_dimensions_formally_terminal', 'round_sequence_incomplete', 'query_budget_reached_without_dimension_exhaustion',
+'round_budget_reached_without_dimension_exhaustion', 'dimension_query_budgets_reached_without_exhaustion', 'source_blocked_pending_dimension_audit', 'route_exhausted_pending_dimension_audit', 'evidence_shortfall'][k] AS outcome, k IN (1, 3, 4, 5) AS terminal FROM o"""
 )
 def termination_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twelve outcomes of a user's retrieval, on facts from its log."""
     sums = log(spark, sf_dir).groupBy("user_id").agg(
         F.count("*").alias("attempts"), F.max("round").alias("rounds"), F.count_distinct("intent").alias("intents"), F.max_by("status", "ts").alias("last"), F.sum(F.col("gain").cast("decimal(18,2)")).cast("double").alias("gain")
     )
-    outcome = execution.termination(F.col("last") != "view", 70 - F.col("attempts"), F.col("gain") < 500.0, F.col("last") == "error", F.greatest(F.lit(0), 45 - F.col("intents")), F.col("rounds"), 31)
-    return sums.select("user_id", outcome.alias("outcome"))
+    formal = F.col("intents") >= 48
+    facts = {
+        "unrecoverable_error": F.col("attempts") > 85,
+        "retrieval_control_invalid": F.col("gain") > 3000,
+        "target_met": F.col("intents") >= 50,
+        "dimension_exhausted_with_shortfall": formal & (F.col("last") == "view"),
+        "all_dimensions_formally_terminal": formal,
+        "round_sequence_incomplete": F.col("rounds") < 28,
+        "query_budget_reached_without_dimension_exhaustion": F.col("attempts") >= 76,
+        "round_budget_reached_without_dimension_exhaustion": F.col("rounds") == 28,
+        "dimension_query_budgets_reached_without_exhaustion": F.col("attempts") >= 70,
+        "source_blocked_pending_dimension_audit": F.col("last") == "error",
+        "route_exhausted_pending_dimension_audit": F.col("last") == "signup",
+    }
+    return sums.select("user_id", execution.termination(facts).alias("t")).select("user_id", "t.outcome", "t.terminal")
 
 
 @query(
