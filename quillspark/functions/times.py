@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-STRICT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?(?:Z|[+-]\d{2}:\d{2})$"
+#: A moment needs T, seconds and an offset of at most 14:00.
+STRICT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-](?:(?:0\d|1[0-3]):[0-5]\d|14:00))$"
 
 
 def strict_timestamp(value: Column) -> Column:
@@ -21,6 +22,21 @@ def partial_date(value: Column) -> Column:
     return F.when(earliest.isNotNull(), F.struct(earliest.alias("earliest"), precision.alias("precision")))
 
 
+def date_reasons(published: Column, retrieved: Column, cutoff: Column) -> Column:
+    """Codes of a source's times as text: a bad publication date, a bad retrieval time, a date after the earliest limit (M1-M3)."""
+    from quillspark.operators.contracts import reasons
+
+    date, moment, limit = partial_date(published), strict_timestamp(retrieved), cutoff.try_cast("date")
+    given = F.coalesce(published, F.lit("")) != ""
+    return reasons(
+        {
+            "publication_invalid": given & date.isNull(),
+            "timestamp_requires_exact_iso_timezone": moment.isNull(),
+            "publication_after_capture_or_cutoff": F.coalesce(~not_after(date["earliest"], moment, limit), F.lit(False)),
+        }
+    )
+
+
 def not_after(published: Column, *limits: Column) -> Column:
     """Whether a date is not after the least of the limits that are known; null if the date is unknown."""
     return published <= F.least(*[x.cast("date") for x in limits])

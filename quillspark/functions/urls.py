@@ -18,10 +18,12 @@ from pyspark.sql.types import StringType
 #: Query names that only track; signed or sensitive queries are left as they are.
 TRACKING = ("fbclid", "gclid", "yclid", "mc_cid", "mc_eid", "igshid")
 TRACKING_PREFIX = "utm_"
-SENSITIVE = ("sig", "signature", "token", "access_token", "auth", "key", "api_key", "password", "session", "sid", "code")
+SENSITIVE = ("token", "xsec_token", "auth", "authorization", "session", "cookie", "code", "password", "access_token", "api_key", "sig", "signature")
+CONTACT_NAMES = ("phone", "mobile", "telephone", "tel", "contact", "contact_phone", "联系电话", "手机", "电话", "联系方式")
+PROFILE_MARKS = ("user", "users", "profile", "people", "member", "members")
 SENSITIVE_PREFIXES = ("x-amz-", "x-goog-")
 #: Public suffixes of more than one part.
-SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.cn", "net.cn", "org.cn", "gov.cn", "edu.cn", "com.hk", "com.au")
+SUFFIXES = ("com.cn", "net.cn", "org.cn", "gov.cn", "edu.cn", "com.hk", "com.tw", "co.uk", "org.uk", "com.au", "co.jp")
 RESERVED = ("localhost", "local", "internal", "invalid", "test", "onion")
 UNRESERVED = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_~")
 PARTS = re.compile(r"(https?)://([^/?#]*)([^?#]*)(\?[^#]*)?", re.I)
@@ -86,12 +88,66 @@ def canonical_url(urls: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield batch.map(canonical)
 
 
+def query_parts(url: Column) -> Column:
+    """array<struct<name, value>> of the raw query, in order; nothing is decoded and empty parts stay."""
+    query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
+    parts = F.when(query != "", F.split(query, "&", -1)).otherwise(F.array().cast("array<string>"))
+    return F.transform(parts, lambda p: F.struct(F.substring_index(p, "=", 1).alias("name"), F.regexp_extract(p, r"^[^=]*=(.*)$", 1).alias("value")))
+
+
+def query_names(url: Column) -> Column:
+    """The parameter names of a URL, lower-cased, in order."""
+    return F.transform(query_parts(url), lambda p: F.lower(p["name"]))
+
+
 def url_privacy(url: Column) -> Column:
-    """confirmed, suspected or none: whether a URL carries personal or secret values."""
-    return (
-        F.when(url.rlike(r"(?i)[?&#](?:token|access_token|auth|password|session|sid|sig|signature|x-amz-[a-z-]+|x-goog-[a-z-]+)="), "confirmed")
-        .when(url.rlike(r"(?i)[?&#](?:user|uid|email|phone|mobile|account|key|code)=|/(?:user|profile|u)/[^/?#]+"), "suspected")
-        .otherwise("none")
+    """confirmed, suspected or none: whether a URL carries contact data of a person.
+
+    Confirmed: a contact field with a value, an e-mail address in query, path or fragment, or a profile path.
+    Suspected: a bare telephone number elsewhere than in a content id.
+    """
+    email = r"(?i)[A-Z0-9._%+-]+(?:@|%40)[A-Z0-9.-]+\.[A-Z]{2,}"
+    mobile = r"(?:^|[^A-Za-z0-9])(?:\+?86[ -]?)?1[3-9][0-9]{9}(?:[^A-Za-z0-9]|$)"
+    rest = F.regexp_replace(url, r"^[A-Za-z]+://[^/?#]*", "")
+    ids = r"(?i)([?&/])(?:id|item|item_id|article|article_id|post|post_id|page|page_id|record|record_id|news|news_id|detail)[=/]1[3-9][0-9]{9}(?=[^0-9]|$)"
+    contact = F.exists(query_parts(url), lambda p: F.lower(p["name"]).isin(*CONTACT_NAMES) & (p["value"] != ""))
+    profile = rest.rlike(rf"(?i)/(?:{'|'.join(PROFILE_MARKS)})/[^/?#]+")
+    return F.when(contact | profile | rest.rlike(email), "confirmed").when(F.regexp_replace(rest, ids, "$1").rlike(mobile), "suspected").otherwise("none")
+
+
+def declared_reasons(url: Column, domain: Column, platform_id: Column, declared: Column) -> Column:
+    """Codes of a source's declared domain and platform against its URL."""
+    from quillspark.operators.contracts import reasons
+
+    return reasons(
+        {
+            "source_domain_mismatch": F.lower(F.regexp_replace(F.trim(F.coalesce(domain, F.lit(""))), r"\.$", "")) != host_of(url),
+            "platform_identity_conflict": F.coalesce((F.trim(declared) != "") & (F.lower(F.trim(declared)) != platform_id), F.lit(False)),
+        }
+    )
+
+
+def redirect_reasons(hops: Column, url: Column, final_url: Column, retrieved_at: Column, most: int = 20) -> Column:
+    """Codes of a chain of redirects, array<struct<url, address, at>> in order.
+
+    Addresses must be public (IPv4 ranges of private, loopback, link-local, multicast and reserved use are not),
+    no URL may come twice, times must not go back or pass the retrieval, and the ends must be the URLs given.
+    """
+    from quillspark.operators.contracts import reasons
+
+    private = r"^(?:0|10|127|22[4-9]|23\d|24\d|25\d)\.|^192\.168\.|^169\.254\.|^172\.(?:1[6-9]|2\d|3[01])\.|^100\.(?:6[4-9]|[7-9]\d|1[01]\d|12[0-7])\.|^192\.0\.[02]\.|^198\.(?:1[89]|51)\.|^203\.0\.113\."
+    octet = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+    n = F.coalesce(F.size(hops), F.lit(0))
+    ok = (n > 0) & (n <= most)
+    return reasons(
+        {
+            "network_connection_hops_required": ~ok,
+            "network_address_not_public": ok & F.exists(hops, lambda h: ~F.coalesce(h["address"].rlike(rf"^{octet}(?:\.{octet}){{3}}$") & ~h["address"].rlike(private), F.lit(False))),
+            "redirect_cycle": ok & (F.size(F.array_distinct(F.transform(hops, lambda h: h["url"]))) < n),
+            "network_redirect_time_reversed": ok & F.exists(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda k: F.coalesce(F.get(hops, k)["at"] < F.get(hops, k - 1)["at"], F.lit(False))),
+            "network_observation_after_capture": ok & F.exists(hops, lambda h: h["at"] > retrieved_at),
+            "network_redirect_identity_mismatch": ok & ~(F.get(hops, F.lit(0))["url"].eqNullSafe(url) & F.get(hops, n - 1)["url"].eqNullSafe(F.coalesce(final_url, url))),
+        }
     )
 
 

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 class Codebook:
     """Terms of each polarity with weights, and what changes them; fixed values of this library."""
 
-    positive: dict[str, float] = field(default_factory=lambda: {"good": 1.0, "great": 1.5, "excellent": 2.0, "pleasant": 1.0, "safe": 1.0, "clean": 1.0, "recommend": 1.5, "好": 1.0, "很好": 1.5, "方便": 1.0, "the": 0.25, "and": 0.25})
-    negative: dict[str, float] = field(default_factory=lambda: {"bad": 1.0, "terrible": 2.0, "poor": 1.0, "dirty": 1.0, "unsafe": 1.5, "noisy": 1.0, "差": 1.0, "很差": 1.5, "idiot": 1.5, "worthless": 1.5, "on": 0.25})
+    positive: dict[str, float] = field(default_factory=lambda: {"good": 1.0, "great": 1.5, "excellent": 2.0, "pleasant": 1.0, "safe": 1.0, "clean": 1.0, "recommend": 1.5, "helpful": 1.0, "friendly": 1.0, "beautiful": 1.5, "quiet": 1.0, "gut": 1.0, "schön": 1.5, "bueno": 1.0, "bien": 1.0, "好": 1.0, "很好": 1.5, "方便": 1.0})
+    negative: dict[str, float] = field(default_factory=lambda: {"bad": 1.0, "terrible": 2.0, "poor": 1.0, "dirty": 1.0, "unsafe": 1.5, "noisy": 1.0, "差": 1.0, "很差": 1.5, "rude": 1.5, "broken": 1.0, "idiot": 1.5, "worthless": 1.5, "schlecht": 1.0, "malo": 1.0, "mauvais": 1.0})
     negators: tuple[str, ...] = ("not", "no", "never", "without", "不", "没")
     degrees: dict[str, float] = field(default_factory=lambda: {"very": 1.4, "extremely": 1.7, "slightly": 0.7, "somewhat": 0.8, "非常": 1.5, "有点": 0.7})
     hedges: tuple[str, ...] = ("maybe", "perhaps", "possibly", "seems", "可能", "也许")
@@ -33,7 +33,8 @@ class Codebook:
 
 NEGATION_WINDOW, DEGREE_WINDOW, HEDGE_WINDOW = 6, 6, 10
 BEFORE, AFTER = 0.75, 1.25
-STOPS = "，,：:；;（）()[]【】"
+#: Where the scope of a modifier ends.
+STOPS = "，,、：:（）()[]【】"
 RESULT = "struct<positive:double,negative:double,hits:int,neutral:int,contrasts:int,raw:double>"
 
 
@@ -50,10 +51,16 @@ class Reader:
         self.book = book
         self.weights = {**{t: w for t, w in book.positive.items()}, **{t: -w for t, w in book.negative.items()}}
         self.terms = [(t, _pattern([t])) for t in sorted(self.weights, key=lambda t: (-len(t), t))]
+        self.any_term = _pattern(list(self.weights))
         self.contrast = _pattern(list(book.contrast))
         self.negators, self.hedges, self.neutral = _pattern(list(book.negators)), _pattern(list(book.hedges)), _pattern(list(book.neutral))
         self.degrees = _pattern(list(book.degrees))
 
+    def degree(self, prefix: str) -> float:
+        """The multiplier of the last degree word of a prefix; of two at one place, the longer."""
+        found = [(m.start(), len(m[0]), m[0]) for m in self.degrees.finditer(prefix)]
+        return self.book.degrees[max(found)[2]] if found else 1.0
+
     def hits(self, clause: str) -> list[tuple[int, int, str]]:
         """Longest terms first, non-overlapping; ties go to the earliest."""
         taken: list[tuple[int, int, str]] = []
@@ -74,6 +81,8 @@ class Reader:
         for clause in re.split(r"(?<=[。！？!?；;\n])", lowered):
             parts = self.contrast.split(clause)
             contrasts += len(parts) - 1
+            if not self.any_term.search(clause):
+                continue
             loud = min(1.24, 1 + 0.08 * min(3, clause.count("!") + clause.count("！")))
             for k, part in enumerate(parts):
                 place = 1.0 if len(parts) == 1 else AFTER if k else BEFORE
@@ -81,8 +90,7 @@ class Reader:
                     value = self.weights[term] * place * loud
                     if len(self.negators.findall(self._window(part, start, NEGATION_WINDOW))) % 2:
                         value = -value
-                    if found := self.degrees.findall(self._window(part, start, DEGREE_WINDOW)):
-                        value *= self.book.degrees[found[-1]]
+                    value *= self.degree(self._window(part, start, DEGREE_WINDOW))
                     if self.hedges.search(self._window(part, start, HEDGE_WINDOW)):
                         value *= 0.75
                     hits += 1
@@ -137,9 +145,86 @@ def aspects(units: DataFrame, book: Codebook | None = None, text: str = "text",
     return df.withColumn("aspect", aspect).withColumn("dominance", dominance).withColumn("margin", margin).withColumn("aspect_confidence", confidence).drop("_counts", "_ranked")
 
 
-def review_status(confidence: Column, reliable: Column, aspect: Column, other_reasons: Column) -> Column:
-    """auto_eligible or needs_review."""
-    return F.when((confidence >= 0.72) & (reliable >= 0.55) & (aspect >= 0.60) & (F.size(other_reasons) == 0), "auto_eligible").otherwise("needs_review")
+def match_status(aspect_hits: Column, polarity_hits: Column) -> Column:
+    """full_match, dimension_only, polarity_only or zero_hit."""
+    return F.when((aspect_hits > 0) & (polarity_hits > 0), "full_match").when(aspect_hits > 0, "dimension_only").when(polarity_hits > 0, "polarity_only").otherwise("zero_hit")
+
+
+def review(units: DataFrame) -> DataFrame:
+    """Add method, review_reasons and review_status.
+
+    units has text, native (rating or null), original (its text is the unit's own), valid, direct, user_unit,
+    readable, user_source, promotion, sentiment, aspect, aspect_conflict, figurative, contrasts, confidence,
+    reliability, aspect_confidence, match and candidates (of the profile match). Unknown flags fail.
+    """
+    from quillspark.operators.contracts import reasons
+
+    present = F.trim(F.coalesce("text", F.lit(""))) != ""
+    text = F.col("native").isNull() & present
+    method = F.when(F.col("native").isNotNull(), "source_native_numeric").when(~present, "not_applicable").when(F.col("match") == "full_match", "rule_codebook").otherwise("coding_parse_fallback")
+    partial = F.col("match") != "full_match"
+    found = reasons(
+        {
+            "missing_visible_text": F.col("native").isNull() & ~present,
+            "missing_original_summary_text": text & ~F.coalesce("original", F.lit(False)),
+            "evidence_not_valid": text & ~F.coalesce("valid", F.lit(False)),
+            "not_direct_place_evidence": text & ~F.coalesce("direct", F.lit(False)),
+            "non_user_semantic_unit": text & ~F.coalesce("user_unit", F.lit(False)),
+            "source_not_readable": text & ~F.coalesce("readable", F.lit(False)),
+            "source_not_user_content": text & ~F.coalesce("user_source", F.lit(False)),
+            "source_promotional": text & F.coalesce("promotion", F.lit(False)),
+            "promotion_status_unknown": text & F.col("promotion").isNull(),
+            "no_directional_cue": text & (F.col("sentiment") == "na"),
+            "dimension_unresolved": text & F.col("aspect").isNull(),
+            "dimension_conflict": text & F.col("aspect_conflict"),
+            "figurative_or_sarcasm_risk": text & F.col("figurative"),
+            "multiple_contrast_requires_review": text & (F.col("contrasts") > 1),
+            "semantic_confidence_below_threshold": text & (F.col("confidence") < 0.72),
+            "evidence_reliability_below_threshold": text & (F.col("reliability") < 0.55),
+            "aspect_confidence_below_threshold": text & (F.col("aspect_confidence") < 0.60),
+            "lexicon_zero_hit_coding_parse_started": text & (F.col("match") == "zero_hit"),
+            "lexicon_partial_hit_coding_parse_started": text & partial & (F.col("match") != "zero_hit"),
+            "coding_parse_unresolved": text & partial & (F.col("candidates") == 0),
+            "coding_parse_candidate_requires_confirmation": text & partial & (F.col("candidates") > 0),
+        }
+    )
+    status = F.when(~text, "not_applicable").when(F.size("review_reasons") == 0, "auto_eligible").otherwise("review_required")
+    return units.withColumn("method", method).withColumn("review_reasons", found).withColumn("review_status", status)
+
+
+def derived(units: DataFrame) -> DataFrame:
+    """Add what each method makes of a unit: basis, final score, told confidence and weight.
+
+    units has method, sentiment_basis, score_raw, score, stance (of a hand coding), declared (its sentiment),
+    confidence, reliability and polarity_candidate. A fallback is never scored and its confidence is capped at 0.71.
+    """
+    method = F.col("method")
+    rule, native, hand, fallback = method == "rule_codebook", method == "source_native_numeric", method.isin("manual_code", "assisted_semantic"), method == "coding_parse_fallback"
+    signed = F.when(F.col("declared") == "neutral", 0).when(F.col("declared") == "positive", F.col("stance")).otherwise(-F.col("stance"))
+    return (
+        units.withColumn("basis", F.when(hand, "human_confirmed_review").when(fallback & F.col("polarity_candidate"), "coding_parse_candidate").when(rule | fallback, F.col("sentiment_basis")).otherwise(method))
+        .withColumn("score_final", F.when(hand, signed).when(rule, F.col("score")).cast("long"))
+        .withColumn("told_confidence", F.when(fallback, F.least(F.col("confidence"), F.lit(0.71))).when(rule | hand, F.col("confidence")))
+        .withColumn("weight", F.when(native, F.col("reliability")).when(rule | hand, F.col("confidence") * F.col("reliability")))
+    )
+
+
+def profile_matches(units: DataFrame, profiles: DataFrame, k: int = 3, least: float = 0.12, strong: float = 0.28) -> DataFrame:
+    """(id, kind, concept, similarity, strength, place): the best k profiles of each kind for each unit.
+
+    units has id and tokens, profiles has kind, concept and tokens: a codebook of tens of rows. Pairs are made
+    by an equi-join on tokens, so units and profiles without a common one never meet.
+    """
+    from pyspark.sql import Window
+
+    own = units.select("id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    listed = profiles.select("kind", "concept", F.size("tokens").alias("m"), F.explode("tokens").alias("token"))
+    shared = own.join(listed, "token").groupBy("id", "kind", "concept").agg(F.count("*").alias("both"), F.first("n").alias("n"), F.first("m").alias("m"))
+    both = F.col("both")
+    score = F.round(0.7 * both / F.least("n", "m") + 0.3 * both / (F.col("n") + F.col("m") - both), 6)
+    place = F.row_number().over(Window.partitionBy("id", "kind").orderBy(F.desc("similarity"), "concept"))
+    kept = shared.withColumn("similarity", score).where(F.col("similarity") >= least).withColumn("place", place).where(F.col("place") <= k)
+    return kept.select("id", "kind", "concept", "similarity", F.when(F.col("similarity") >= strong, "strong").otherwise("weak").alias("strength"), "place")
 
 
 def confidence(hits: Column, neutral: Column, aspect: Column, complete: Column, mixed: Column, contrasts: Column, fallback: Column) -> Column:

@@ -30,7 +30,7 @@ def normal_form(text: Column) -> Column:
 
 def comparison_form(text: Column) -> Column:
     """The normal form without masks and trailing punctuation."""
-    return normal_form(F.regexp_replace(F.regexp_replace(text, r"\*{2,}|█+", ""), r"[\s.,;:!?。！？；，、]+$", ""))
+    return normal_form(F.regexp_replace(F.regexp_replace(text, r"\*{2,}|█+", ""), r"(?<![\s.,;:!?。！？；，、])[\s.,;:!?。！？；，、]+$", ""))
 
 
 def clauses(text: Column) -> Column:
@@ -51,8 +51,14 @@ def stem(word: Column) -> Column:
     )
 
 
+#: CJK pieces that carry nothing.
+CJK_STOPS = ("一个", "一些", "这里", "那里", "这个", "那个", "可以", "感觉", "觉得", "比较", "非常", "以及", "还是", "就是", "因为", "所以", "但是", "不过", "体验", "地方")
+#: Runs up to this length are tokens as a whole, too.
+SHORT_RUN = 8
+
+
 def token_set(text: Column) -> Column:
-    """Distinct stems of Latin words of two letters or more, and CJK 2- and 3-grams."""
+    """Distinct stems of Latin words of two letters or more, short CJK runs, and CJK 2- and 3-grams."""
     words = F.transform(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]{2,}"), F.lit(0)), stem)
     runs = F.regexp_extract_all(text, F.lit(CJK + "{2,}"), F.lit(0))
 
@@ -61,7 +67,8 @@ def token_set(text: Column) -> Column:
         return F.transform(starts, lambda i: F.substring(run, i, F.lit(size)))
 
     def grams(run: Column) -> Column:
-        return F.concat(pieces(run, 2), pieces(run, 3))
+        whole = F.when(F.length(run) <= SHORT_RUN, F.array(run)).otherwise(F.array().cast("array<string>"))
+        return F.filter(F.concat(whole, pieces(run, 2), pieces(run, 3)), lambda x: ~x.isin(*CJK_STOPS))
 
     return F.array_distinct(F.concat(words, F.flatten(F.transform(runs, grams))))
 
@@ -114,3 +121,55 @@ def shared_grams(left: DataFrame, right: DataFrame, key: str, text: str, words:
         return df.select(F.col(name), F.explode(F.array_distinct(spread)).alias("gram"))
 
     return grams(left, key, text).join(grams(right, "item_id", "item_text"), "gram").groupBy(key, "item_id").agg(F.count("*").alias("n"))
+
+
+def narrative_form(text: Column) -> Column:
+    """Letters only, CJK or Latin, without URLs, lower-cased."""
+    return F.lower(F.regexp_replace(F.regexp_replace(text, r"(?i)https?://\S+", ""), r"[^\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}A-Za-z]", ""))
+
+
+def located(body: Column, part: Column) -> Column:
+    """struct(start, status) of a part in a body: found, ambiguous (it stands there again) or missing; start from 0."""
+    first = F.instr(body, part)
+    again = F.instr(F.substring(body, first + 1, F.length(body)), part)
+    status = F.when((part == "") | part.isNull() | (first == 0), "missing").when(again > 0, "ambiguous").otherwise("found")
+    return F.struct(F.when(status == "found", first - 1).alias("start"), status.alias("status"))
+
+
+def compact(body: Column, terms: list[str], before: int = 100, size: int = 900) -> Column:
+    """A view of a body from a little before its first term on."""
+    places = [F.when(F.instr(F.lower(body), F.lit(t.lower())) > 0, F.instr(F.lower(body), F.lit(t.lower()))) for t in terms]
+    first = F.least(*places) if len(places) > 1 else places[0]
+    return F.substring(body, F.greatest(F.lit(1), F.coalesce(first, F.lit(1)) - before), F.lit(size))
+
+
+def keyword_groups(text: Column, groups: dict[str, tuple[str, ...]]) -> Column:
+    """The names of the groups of which the text holds a word, in their order."""
+    lowered = F.lower(text)
+    hits = []
+    for name, words in groups.items():
+        held = F.lit(False)
+        for w in words:
+            held = held | F.contains(lowered, F.lit(w.lower()))
+        hits.append(F.when(held, F.lit(name)))
+    return F.array_compact(F.array(*hits))
+
+
+def localised(value: Column, names: dict[str, str]) -> Column:
+    """The name of an enum value in another language; an unknown value stays as it is."""
+    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.coalesce(F.element_at(table, value), value)
+
+
+def distinct_in_order(values: Column) -> Column:
+    """The distinct values of an array, each where it stood first, without empty ones."""
+    return F.array_distinct(F.filter(F.transform(values, lambda x: F.trim(x)), lambda x: x != ""))
+
+
+def overlaps(blocks: Column) -> Column:
+    """How many blocks, array<struct<start, end, id>>, run into the one that follows them."""
+
+    def count(own: Column) -> Column:
+        return F.size(F.filter(own, lambda b, i: F.coalesce(F.get(own, i + 1)["start"] < b["end"], F.lit(False))))
+
+    return bound(F.array_sort(blocks), count)

@@ -52,3 +52,29 @@ def changed(before: DataFrame, after: DataFrame) -> DataFrame:
 def rule_table(spark: SparkSession, sections: dict[str, dict[str, float]]) -> DataFrame:
     """A codebook's sections as rows (section, term, weight)."""
     return spark.createDataFrame([(s, t, float(w)) for s, terms in sections.items() for t, w in sorted(terms.items())], "section string, term string, weight double")
+
+
+def replace_all(spark: SparkSession, ledgers: dict[str, DataFrame], root: str) -> str:
+    """Replace several ledgers together: all are written to a new version, and one appended row makes it the current one.
+
+    A run that ends early leaves the old version current and an unused folder.
+    """
+    import uuid
+
+    version = f"v-{uuid.uuid4().hex}"
+    for name, df in ledgers.items():
+        df.write.parquet(f"{root}/{version}/{name}")
+    try:
+        seq = spark.read.json(f"{root}/current", schema="seq long, version string").agg(F.max("seq")).first()[0] or 0
+    except Exception as error:  # the first version has none before it
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        seq = 0
+    spark.createDataFrame([(seq + 1, version)], "seq long, version string").coalesce(1).write.mode("append").json(f"{root}/current")
+    return version
+
+
+def current(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A ledger of the current version."""
+    version = spark.read.json(f"{root}/current", schema="seq long, version string").orderBy(F.desc("seq"), F.desc("version")).first()["version"]
+    return spark.read.parquet(f"{root}/{version}/{name}")

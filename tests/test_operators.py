@@ -70,7 +70,7 @@ def test_retry_chains(spark):
 
 def test_outcomes(spark):
     df = spark.createDataFrame([("failed", "retry", 0), ("failed", "stop", 1), ("odd", "x", 0)], "s string, a string, n int")
-    assert [r.c for r in df.select(contracts.outcome_reasons(F.col("s"), F.col("a"), F.col("n")).alias("c")).collect()] == [[], ["action_not_allowed", "sources_not_allowed"], ["unknown_status"]]
+    assert [r.c for r in df.select(contracts.outcome_reasons(F.col("s"), F.col("a"), F.col("n")).alias("c")).collect()] == [["execution_retry_precondition_invalid"], ["execution_status_action_conflict", "execution_status_cannot_produce_sources"], ["execution_status_invalid"]]
 
 
 def test_components(spark):
