@@ -20,8 +20,10 @@ def connected(links: DataFrame) -> DataFrame:
     """
     links = links.select("a", "b").where("a <> b")
     both = cut(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    hot = cut(both.groupBy("b").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("b", F.ceil(F.col("n") / HOT).cast("int").alias("copies")))
-    skewed = not hot.isEmpty()
+    degrees = both.groupBy("b").agg(F.count("*").alias("n"))
+    skewed = (degrees.agg(F.max("n")).first()[0] or 0) > HOT
+    hot = degrees.where(F.col("n") > HOT).select("b", F.ceil(F.col("n") / HOT).cast("int").alias("copies"))
+    hot = cut(hot) if skewed else hot
     if skewed:  # the links of a hot node are dealt to copies of its label
         both = cut(both.join(hot, "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("copies", F.lit(1))).cast("int").alias("copy")))
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label"))
