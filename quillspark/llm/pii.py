@@ -6,8 +6,10 @@ the digits of a candidate; the words before a span raise or lower its score.
 
 Base kinds (email, ip, card, phone) are leftmost and non-overlapping, and those that fail their validator
 are dropped. Further proposals are kept if their score reaches the threshold and no kept span of the same
-kind overlaps them: cards of 13 to 19 digits in one of the printed groupings, international phone numbers
-in the printed form and IBANs, all also inside longer runs of digits that fail as a whole.
+kind overlaps them: cards of 13 to 19 digits in one of the printed groupings, phone numbers in the printed
+form and IBANs, all also inside longer runs of digits that fail as a whole. Weak ones start below the
+threshold and need a context word: plain runs of 13 to 15 digits that pass Luhn, and phone numbers without
+a country code. Others start above it and fall below it after a word that speaks against them.
 
 A null text counts as empty and has no spans; rows are mapped one by one, so repeated rows, null ids and
 other columns do no harm, and an empty table gives an empty result. Patterns use possessive quantifiers,
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 THRESHOLD = 70
 #: Characters before a span in which context words count.
 CONTEXT = 40
-RAISE, LOWER = 10, 20
+RAISE, LOWER = 15, 20
 
 #: Words that make a kind likelier, and words that make it unlikelier.
 CONTEXT_WORDS = {
@@ -45,10 +47,12 @@ PATTERNS = {
 }
 MORE_PATTERNS = {
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}|[0-9]{4} [0-9]{6} [0-9]{5})(?![0-9])",
-    "phone": r"\+[0-9]{1,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "phone": r"\+[0-9]{1,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9+.-])\(?0[0-9]{2,4}\)?[ /-][0-9]{3,4}[ -]?[0-9]{3,4}(?![0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
 }
-BASE_SCORE = {"email": 80, "ip": 70, "card": 90, "phone": 70, "iban": 95}
+BASE_SCORE = {"email": 80, "ip": 70, "card": 90, "phone": 70}
+#: Where a further proposal starts: (pattern of the weak ones, their score, the score of the others).
+MORE_SCORE = {"card": (r"^[0-9]{13,15}$", 60, 75), "phone": (r"^[(0]", 60, 75), "iban": (r"(?!)", 0, 95)}
 KINDS = ("email", "ip", "card", "phone", "iban")
 SPAN = "array<struct<kind:int,start:int,end:int,base:boolean,score:int>>"
 
@@ -103,12 +107,17 @@ def _matches(text: Column, pattern: str) -> Column:
     return F.aggregate(steps, start, add, lambda acc: acc["out"])
 
 
-def _score(text: Column, kind: str, span: Column) -> Column:
+def _score(text: Column, kind: str, span: Column, base: bool) -> Column:
     lead = F.least(span["start"], F.lit(CONTEXT))
     before = F.lower(F.substring(text, span["start"] - lead + 1, lead))
     near = "|".join(CONTEXT_WORDS[kind])
+    if base:
+        start = F.lit(BASE_SCORE[kind])
+    else:
+        weak, low, high = MORE_SCORE[kind]
+        start = F.when(span["m"].rlike(weak), low).otherwise(high)
     return (
-        F.lit(BASE_SCORE[kind])
+        start
         + F.when(before.rlike(rf"(?:^|[^a-z])(?:{near})(?:$|[^a-z])"), RAISE).otherwise(0)
         - F.when(before.rlike("|".join(AGAINST_WORDS)), LOWER).otherwise(0)
     )
@@ -126,6 +135,7 @@ HINT = {
     "card": lambda t: t.rlike(r"[0-9](?:[ -]?[0-9]){12}"),
     "iban": lambda t: t.rlike(r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}"),
 }
+MORE_HINT = {**HINT, "phone": lambda t: t.rlike(r"\+|0[0-9]{2,4}\)?[ /-]")}
 NONE = "array<struct<m:string,start:int,end:int>>"
 
 
@@ -141,7 +151,7 @@ def find(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD) -> Dat
     names = _Columns({k: f"_base_{k}" for k in PATTERNS}, {k: f"_more_{k}" for k in MORE_PATTERNS})
     df = docs.withColumns({names.base[k]: F.when(HINT[k](t), _matches(t, p)).otherwise(F.array().cast(NONE)) for k, p in PATTERNS.items()})
     df = df.withColumns({n: _valid(n, k) for k, n in names.base.items()})
-    df = df.withColumns({names.more[k]: F.when(HINT[k](t), _matches(t, p)).otherwise(F.array().cast(NONE)) for k, p in MORE_PATTERNS.items()})
+    df = df.withColumns({names.more[k]: F.when(MORE_HINT[k](t), _matches(t, p)).otherwise(F.array().cast(NONE)) for k, p in MORE_PATTERNS.items()})
 
     def further(kind: str) -> Column:
         kept = F.col(names.base[kind]) if kind in names.base else None
@@ -150,7 +160,7 @@ def find(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD) -> Dat
             lambda s: (
                 (F.lit(True) if kept is None else ~F.exists(kept, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
                 & MORE_VALID[kind](s["m"])
-                & (_score(t, kind, s) >= threshold)
+                & (_score(t, kind, s, False) >= threshold)
             ),
         )
 
@@ -158,7 +168,7 @@ def find(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD) -> Dat
         return F.transform(
             spans,
             lambda s: F.struct(
-                F.lit(KINDS.index(kind)).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(base).alias("base"), _score(t, kind, s).cast("int").alias("score")
+                F.lit(KINDS.index(kind)).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(base).alias("base"), _score(t, kind, s, base).cast("int").alias("score")
             ),
         ).cast(SPAN)
 
