@@ -2,15 +2,15 @@
 
 Layout of a folder: for each sorted range of doc_id one `part-*.bin` (the ids of its documents, one after
 the other, little-endian unsigned integers of 16 bits, or 32 where the vocabulary needs them) and one
-`part-*.idx` (magic, id width, number of documents, then 64-bit integers: doc_ids, offsets of the
-documents in ids, one more for the end). The manifest has a row for each part: its file, its ids, its
+`part-*.idx` (64-bit integers: magic, id width, number of documents, number of null doc_ids, the doc_ids,
+offsets of the documents in ids, one more for the end). The manifest has a row for each part: its file, its ids, its
 documents and its base, the prefix sum of the ids of the parts before it. Readers map the files into memory.
 
 A part's name holds the attempt that wrote it and only parts named in the manifest are read, so a task
 that is run again after the loss of an executor leaves at most an unused file.
 
-Null texts count as empty and get the end id only. A null doc_id sorts first and is stored as the least
-64-bit integer. Rows with equal doc_ids are ordered by their text. An empty table gives no documents.
+Null texts count as empty and get the end id only. Null doc_ids sort first; a part's header says how many
+it has, and their places in the list of doc_ids hold 0. Rows with equal doc_ids are ordered by their text. An empty table gives no documents.
 Other columns are not read. Texts are encoded whole.
 """
 
@@ -35,8 +35,7 @@ from quillspark.session import cut, shared_dir, ship_package
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-NO_ID = -(2**63)
-MAGIC = 0x315844494B4F54
+MAGIC = 0x325844494B4F54
 #: Entries of a task's table of distinct words; one is about 180 bytes.
 TABLE_ENTRIES = 1_000_000
 #: The words of the byte-level pre-tokenizer, for the characters that OTHER allows.
@@ -130,9 +129,10 @@ def encoder(path: str) -> Encoder:
 
 
 def _open(folder: str) -> tuple[Any, str]:
-    """The file system of a folder's address, and the folder's path there."""
+    """The file system of a folder's address, and the folder's path there; Spark's names for the S3 scheme are known by another one."""
     from pyarrow import fs
 
+    folder = re.sub(r"^s3[an]://", "s3://", folder)
     return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
 
 
@@ -154,10 +154,11 @@ def write(docs: DataFrame, folder: str, path: str | None = None) -> DataFrame:
         store, at = _open(folder)
         store.create_dir(at, recursive=True)
         name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}"
-        ids, lengths = [], []
+        ids, lengths, nulls = [], [], 0
         with store.open_output_stream(posixpath.join(at, f"{name}.bin")) as out:
             for batch in batches:
-                ids.extend(NO_ID if x is None else x for x in batch.column(0).to_pylist())
+                nulls += batch.column(0).null_count
+                ids.extend(x or 0 for x in batch.column(0).to_pylist())
                 for text in batch.column(1):
                     data = encode(text.as_py() or "")
                     out.write(data)
@@ -165,7 +166,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None) -> DataFrame:
                     lengths.append(len(data) // width + 1)
         offsets = np.concatenate([[0], np.cumsum(lengths, dtype="<i8")]).astype("<i8")
         with store.open_output_stream(posixpath.join(at, f"{name}.idx")) as out:
-            out.write(np.array([MAGIC, width, len(ids)], "<i8").tobytes() + np.array(ids, "<i8").tobytes() + offsets.tobytes())
+            out.write(np.array([MAGIC, width, len(ids), nulls], "<i8").tobytes() + np.array(ids, "<i8").tobytes() + offsets.tobytes())
         if ids:
             yield pa.RecordBatch.from_pydict({"file": [name], "part": [context.partitionId()], "n_docs": [len(ids)], "n_ids": [int(offsets[-1])]})
 
@@ -188,12 +189,12 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                 index = np.frombuffer(_mapped(store, posixpath.join(at, f"{row['file']}.idx")), "<i8")
                 if index[0] != MAGIC:
                     raise ValueError(f"{row['file']}.idx is no index")
-                n = int(index[2])
-                doc_ids, offsets = index[3 : 3 + n], index[3 + n :]
+                n, nulls = int(index[2]), int(index[3])
+                doc_ids, offsets = index[4 : 4 + n], index[4 + n :]
                 ids = np.frombuffer(_mapped(store, posixpath.join(at, f"{row['file']}.bin")), f"<u{index[1]}")
                 sums = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids, mask=doc_ids == NO_ID), pa.array(row["base"] + offsets[:-1]), pa.array(np.diff(offsets)), pa.array(sums, pa.int64())],
+                    [pa.array(doc_ids, mask=np.arange(n) < nulls), pa.array(row["base"] + offsets[:-1]), pa.array(np.diff(offsets)), pa.array(sums, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
