@@ -68,4 +68,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filter": url_filter.ORACLE_SQL}
+    return {"op2_sharding": sharding.ORACLE_SQL, "op6_url_filter": url_filter.ORACLE_SQL}

@@ -1,6 +1,6 @@
 """Sharding: contiguous shards of nearly equal bytes, cut from a global prefix sum.
 
-Rows are dealt to sorted ranges of doc_id, every range gives its total (bytes, rows), the prefix sums of
+Rows are dealt to as many sorted ranges of doc_id as spark.sql.shuffle.partitions says, every range gives its total (bytes, rows), the prefix sums of
 these few totals give each range its base, and a running sum inside the range gives each row its global
 offset. A row belongs to the shard in which the middle of its bytes lies, so a shard's size is off the
 target by less than one row on either side.
@@ -20,8 +20,6 @@ from quillspark.session import cut
 SHARDS = 40
 #: Bytes that a row costs besides its text.
 ROW_COST = 16
-#: Rows that a sorted range should hold; the number of ranges grows with the table.
-ROWS_PER_RANGE = 2_000_000
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -79,15 +77,23 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     )
 
 
+#: The checksum by its definition: a table made from the polynomial, and a fold over the bytes.
 ORACLE_SQL = """
-WITH s AS (
-  SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) + 16 AS size, encode(coalesce(text, '')) AS b FROM documents
+WITH RECURSIVE steps(i, k, v) AS (
+  SELECT i, 0, i FROM range(256) r(i) UNION ALL SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM steps WHERE k < 8
+), lookup AS (SELECT i, v FROM steps WHERE k = 8
+), b AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS raw FROM documents
+), tab AS (SELECT list(v ORDER BY i) AS t FROM lookup
+), s AS (
+  SELECT doc_id, CAST(octet_length(raw) AS BIGINT) + 16 AS size,
+    xor(list_reduce(list_transform(regexp_extract_all(hex(raw), '..'), lambda h: CAST('0x' || h AS BIGINT)), lambda acc, x: xor(acc // 256, t[xor(acc % 256, x) + 1]), 4294967295), 4294967295) AS crc
+  FROM b CROSS JOIN tab
 ), o AS (
-  SELECT doc_id, size,
-    coalesce(sum(size) OVER (ORDER BY doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
-    row_number() OVER (ORDER BY doc_id NULLS FIRST, size) AS rn, sum(size) OVER () AS total FROM s
+  SELECT doc_id, size, crc, coalesce(sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, crc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    row_number() OVER (ORDER BY doc_id NULLS FIRST, size, crc) AS rn, sum(size) OVER () AS total FROM s
 ), p AS (
   SELECT *, CAST(least(39, (2 * before + size) * 40 // (2 * total)) AS INTEGER) AS shard FROM o
 )
-SELECT doc_id, size, shard, CAST(rn - min(rn) OVER (PARTITION BY shard) AS BIGINT) AS slot FROM p
+SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, shard, CAST(rn - min(rn) OVER (PARTITION BY shard) AS BIGINT) AS slot, NULL::INTEGER AS grown_shard FROM p
 """
