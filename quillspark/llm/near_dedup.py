@@ -7,9 +7,9 @@
    others (a star), so the number of candidates is linear in the size of a bucket. Each edge is confirmed on
    the full sets, and the links give components.
 3. A bucket whose members are not all in one component by now may still hide a link between two members
-   that are not like its centre. While more than BLOCK members of such a bucket are outside its largest
+   that are not like its centre. If more than BLOCK members of such a bucket are outside its largest
    component, CENTRES of them are further centres, compared with all members of other components (linear in
-   the bucket), and members of which too few shingles stand in any other set are out, as they can have no
+   the bucket; CENTRE_ROUNDS times), and members of which too few shingles stand in any other set are out, as they can have no
    link. What is then left is exact: the members outside the largest component are compared with all, those
    inside it not with each other. Both are cut into blocks of bounded numbers of members and shingles, and
    a pair of blocks is one task's matrix product of full sets, which writes a spanning forest of its links.
@@ -43,7 +43,7 @@ BANDING = {85: (36, 7), 80: (35, 5)}
 #: Members of a block, and their shingles; a task compares two blocks.
 BLOCK, BLOCK_SHINGLES = 256, 2_000_000
 #: Further centres of a large open bucket in each round, and rounds.
-CENTRES, CENTRE_ROUNDS = 8, 3
+CENTRES, CENTRE_ROUNDS = 8, 1
 #: Columns of the matrices that are multiplied at once.
 COLUMNS = 4096
 
@@ -235,7 +235,7 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             labelled = labelled.join(gone, ["key", "rep"], "left_anti")
             buckets = cut(_open_buckets(labelled))
         else:
-            links = cut(links.unionByName(_confirm(_further_edges(labelled, large, turn + 1, percent), sets, percent)))
+            links = cut(links.unionByName(_confirm(_further_edges(labelled, large, turn + 1, percent), sets, percent)).distinct())
     labels = connected(links.unionByName(cut(_rest(labelled, buckets, sets, percent))))
     by_class = classes.select("class", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("class", F.coalesce("label", "rep").alias("label"))
     return (
