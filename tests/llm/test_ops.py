@@ -47,6 +47,20 @@ def test_pii_further_spans_and_mask(spark):
     assert got[2] is None and got[3] == "é😀 [EMAIL]!" and got[1] == "call [PHONE] [CARD] iban [IBAN] end GB83 WEST 1234 5698 7654 32"
 
 
+def test_pii_context_decides(spark):
+    """Weak proposals need a word before them, strong ones fall after a word that speaks against them."""
+    amex = "378282246310005"
+    texts = [f"x {amex}", f"my card: {amex}", f"order no {amex}", "x 020 7946 0958", "Tel. 020 7946 0958", *[f"{x} +1 (269) 555-3296 1234567890" for x in ("x", "serial", "call version")]]
+    got = by_id(pii.report(brute.table(spark, list(enumerate(texts)))))
+    assert [got[k].spans.split(":")[0] for k in range(len(texts))] == ["", "card", "", "", "phone", "phone", "", "phone"]
+    assert all(r.n_phone == r.n_card == 0 for r in got.values())
+
+
+def test_pii_empty_table(spark):
+    docs = brute.table(spark, brute.EDGES).limit(0)
+    assert pii.report(docs).count() == pii.mask(docs).count() == pieces.digests(docs).count() == 0
+
+
 def test_pii_long_runs_end(spark):
     rows = [(1, "a" * 200000), (2, "1" * 200000), (3, "a@" + "b." * 60000 + "c"), (4, "+1" + " " * 100000), (5, "1 " * 100000)]
     assert {i: r.n_email for i, r in by_id(pii.report(brute.table(spark, rows))).items()} == {1: 0, 2: 0, 3: 1, 4: 0, 5: 0}
@@ -503,6 +517,39 @@ def test_kept_nodes_have_kept_parents():
 # registry and pipeline
 
 
+def test_quality_of_repeated_rows_and_clashing_names(spark):
+    """A doc_id that comes many times counts once in the fit, and columns of other operators' names stay."""
+    docs = spark.createDataFrame([(k % 40, f"good words number {k % 40} and more of them", 7, "x") for k in range(400)], "doc_id long, text string, grade int, keep string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(39)] + [(39, 0, 0), (39, None, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    model = quality.train(docs, labels)
+    assert model.keep <= quality.KEEP
+    kept = quality.select(docs, model)
+    assert kept.columns == docs.columns and kept.count() >= 390
+    graded = quality.grade(docs, model)
+    assert graded.count() == 400 and quality.grade(docs.limit(0), model).count() == quality.select(docs.limit(0), model).count() == 0
+
+
+def test_quality_threshold_goes_down_for_clean_rows():
+    rng = np.random.default_rng(0)
+    grades = np.array([0, 1, 2, 2, 2] * 60)
+    rows = [sorted({int(g) * 10 + int(rng.integers(0, 6)), 100 + int(rng.integers(0, 30))}) for g in grades]
+    where, sizes = np.array([f for r in rows for f in r]), np.array([len(r) for r in rows])
+    assert quality.STEP <= quality.threshold(where, sizes, grades) <= quality.KEEP
+    assert quality.threshold(where[:0], sizes[:0], grades[:0]) == quality.KEEP
+
+
+def test_token_files_of_null_and_least_ids(spark, tmp_path):
+    docs = spark.createDataFrame([(None, "a b"), (-(2**63), "c"), (None, None), (3, "d")], "doc_id long, text string")
+    got = token_files.read(token_files.write(docs, str(tmp_path / "files")), str(tmp_path / "files")).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, None, -(2**63), 3] and got[0].n_tokens == 1
+    assert token_files.read(token_files.write(docs.limit(0), str(tmp_path / "none")), str(tmp_path / "none")).count() == 0
+
+
+def test_html_repeated_rows_and_clashing_names(spark):
+    pages = spark.createDataFrame([(1, "u", "<article><h1>A title</h1><p>Some words of an article, long enough to be one.</p></article>", "t", 3)] * 3, "page_id long, url string, html string, text string, n_chars int")
+    assert len({r.text for r in html_text.extract(pages).collect()}) == 1 and html_text.extract(pages).count() == 3
+
+
 def test_oracles(spark):
     from compare import duck, rows
 
