@@ -106,12 +106,9 @@ SELECT id, a, 'same' AS edge FROM s WHERE a <> id UNION ALL SELECT id, a, 'tail'
 )
 def exact_and_tail_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Star links of equal texts and of common tails."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    form = docs.select(F.col("doc_id").alias("id"), text.comparison_form(F.col("text")).alias("form"))
-    same = identity._stars(form.withColumn("key", F.when(F.col("form") != "", F.sha2("form", 256))), "key", "id").withColumn("edge", F.lit("same"))
-    tail = form.where(F.length("form") >= identity.TAIL_LEAST).withColumn("key", F.right("form", F.lit(identity.TAIL)))
-    common = tail.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("a")).where(F.col("n") >= identity.TAIL_GROUP)
-    tails = tail.join(common, "key").select("a", F.col("id").alias("b")).where("a <> b").withColumn("edge", F.lit("tail"))
+    keys = identity.collision_keys(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    same = identity._stars(keys, "form_key", "id").withColumn("edge", F.lit("same"))
+    tails = identity.tail_links(keys).withColumn("edge", F.lit("tail"))
     return same.unionByName(tails).select(F.col("b").alias("id"), "a", "edge")
 
 

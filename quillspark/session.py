@@ -1,4 +1,4 @@
-"""Session helpers: shared folders, and the package on the executors."""
+"""Session helpers: shared folders, the package on the executors, and input tables."""
 
 from __future__ import annotations
 
@@ -35,6 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(configured)
         return configured
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="quillspark-checkpoints-"))
     return context.getCheckpointDir()
 
@@ -45,6 +47,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Bytes of a table below which its rows are left where they were read.
+SPREAD_BYTES = 2 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table of a dataset folder."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One input table of a dataset folder.
+
+    A table that comes in fewer splits than half the cores (one small file, for example) is dealt to all cores
+    once; a table of many splits, as any large one is, is read as it lies. Filters and columns still reach the
+    scan.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) >= SPREAD_BYTES and 2 * df.rdd.getNumPartitions() <= cores:
+        return df.repartition(cores)
+    return df
