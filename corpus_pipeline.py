@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame that is written as Parquet and read again as
 the next stage's docs. All but the last return the columns of documents.
+
+Every stage takes null ids and texts, empty and very long texts, ties, repeated rows, an empty table and
+further columns: null and empty texts count as empty (they are judged, never dropped for that alone; a null
+text stays null under the mask). A stage that keeps rows keeps them with all their columns as they are. Of
+rows that repeat a doc_id and a text, near_dedup keeps one; rows without a doc_id only go where a row with
+an id or another one repeats them. Each stage's docstring says what it decides.
 """
 
 from __future__ import annotations
@@ -20,7 +26,10 @@ NEAR_PERCENT = 80
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality classifier keeps; it is fitted on labelled documents of the table as it came."""
+    """The documents that the quality classifier keeps; it is fitted on labelled documents of the table as it came.
+
+    Labels that are null are ignored, several of one document count as its worst, and a repeated doc_id is one row of the fit.
+    """
     model = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return quality.select(docs, model)
 
@@ -31,7 +40,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no benchmark item."""
+    """The documents that hold no benchmark item within a tenth of its characters in edits; null and empty items match nothing."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
