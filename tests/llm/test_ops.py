@@ -571,7 +571,7 @@ def test_pipeline_stages(spark, docs, texts):
     labels = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     junk = [i for i, x in labels.items() if x.quality == 0]
     assert sum(i in kept["quality"] for i in junk) < 0.3 * len(junk)
-    groups = brute.components([(i, r.text) for i, r in kept["quality"].items()])
+    groups = brute.components([(i, r.text) for i, r in kept["quality"].items()], corpus_pipeline.NEAR_PERCENT)
     assert set(kept["near_dedup"]) == {i for i, (_, c) in groups.items() if i == c}
     items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     assert not any(b in (r.text or "") for r in kept["decontamination"].values() for b in items)
@@ -580,3 +580,17 @@ def test_pipeline_stages(spark, docs, texts):
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF).collect()} == set(kept["tokens"])
 
 
+
+
+def test_pipeline_stages_on_edges(spark):
+    """Null, empty and long texts, repeated rows, an empty table and clashing names pass every stage but the first."""
+    import corpus_pipeline
+
+    docs = brute.table(spark, brute.EDGES + brute.EDGES[:3])
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+        out = stage(spark, docs.withColumn("n_chars", F.length("text").cast("long")), SF)
+        assert set(docs.columns) <= set(out.columns), name
+        assert {r.doc_id for r in out.select("doc_id").distinct().collect()} <= {i for i, _ in brute.EDGES}, name
+    tokens = corpus_pipeline.tokens_stage(spark, docs, SF)
+    assert tokens.count() == len(brute.EDGES) + 3 and tokens.where("n_tokens < 2").count() == 0
