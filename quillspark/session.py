@@ -47,20 +47,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-#: Bytes of a table below which its rows are left where they were read.
-SPREAD_BYTES = 2 << 20
+#: Bytes of a table below which its rows are left where they were read, and of a split.
+SPREAD_BYTES, SPLIT_BYTES = 2 << 20, 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table of a dataset folder.
 
-    A table that comes in fewer splits than half the cores (one small file, for example) is dealt to all cores
-    once; a table of many splits, as any large one is, is read as it lies. Filters and columns still reach the
-    scan.
+    A small table that comes in fewer files than half the cores is dealt to all cores once; a table that fills
+    the cores with splits, as any large one does, is read as it lies. Filters and columns still reach the scan.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) >= SPREAD_BYTES and 2 * df.rdd.getNumPartitions() <= cores:
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if SPREAD_BYTES <= size < cores * SPLIT_BYTES and 2 * len(df.inputFiles()) <= cores:
         return df.repartition(cores)
     return df

@@ -477,3 +477,13 @@ def test_wave_size(spark):
 
     row = spark.range(1).select(budgets.wave_size(F.lit(10), F.lit(5), F.lit(10)).alias("a"), budgets.wave_size(F.lit(10), F.lit(0), F.lit(3)).alias("b")).first()
     assert (row.a, row.b) == (20, 24)
+
+
+def test_tables_of_one_file_are_dealt_to_all_cores(spark, monkeypatch):
+    from quillspark import session
+
+    few = session.table(spark, "/root/testdata/sf0.001", "documents")
+    assert few.rdd.getNumPartitions() == 1
+    monkeypatch.setattr(session, "SPREAD_BYTES", 1)
+    spread = session.table(spark, "/root/testdata/sf0.001", "documents")
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread.count() == few.count()
