@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontaminate, fingerprint, html_text, near_dedup, pieces, pii, quality, sharding, token_files, url_filter
+from quillspark.llm import decontaminate, fingerprint, html_text, near_dedup, packing, pieces, pii, prefix_trie, quality, repair, sharding, token_files, url_filter
 from quillspark.session import table
 
 
@@ -54,6 +54,18 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(table(spark, sf_dir, "documents"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(table(spark, sf_dir, "conversations"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -63,7 +75,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_pii, op2_sharding, op3_decontamination, op4_sentencepiece, op5_fingerprints, op6_url_filter, op7_token_files, op8_near_dedup, op9_quality, op10_html_text, pipeline)
+        for f in (op1_pii, op2_sharding, op3_decontamination, op4_sentencepiece, op5_fingerprints, op6_url_filter, op7_token_files, op8_near_dedup, op9_quality, op10_html_text, op11_packing, op12_repair, op13_prefix_trie, pipeline)
     }
 
 
