@@ -81,10 +81,9 @@ def similarity(a: Column, b: Column) -> Column:
 
 
 def char_grams(text: Column, n: int = 5) -> Column:
-    """The distinct character n-grams; the whole text if it is shorter."""
-    return F.when(F.length(text) < n, F.array(text)).otherwise(
-        F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substring(text, i, F.lit(n))))
-    )
+    """The distinct character n-grams (T12); none if the text is shorter."""
+    starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1))).otherwise(F.array().cast("array<int>"))
+    return bound(text, lambda own: F.array_distinct(F.transform(starts, lambda i: F.substring(own, i, F.lit(n)))))
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -178,9 +178,9 @@ def test_matched_is_difflibs():
         assert identity.matched(x, y, 0) == wanted and identity.matched(x, y, wanted + 1) is None
 
 
-@pytest.mark.parametrize("block", [8, 256])
-def test_similar_pairs_of_whole_texts(spark, monkeypatch, block):
-    monkeypatch.setattr(identity, "BLOCK", block)
+@pytest.mark.parametrize("tile", [8, 4096])
+def test_similar_pairs_of_whole_texts(spark, monkeypatch, tile):
+    monkeypatch.setattr(identity, "TILE", tile)
     ship_package(spark)
     texts = near_texts(2, 120)
     least = [texts.index(t) for t in texts]
@@ -450,6 +450,76 @@ def test_replace_all_keeps_the_old_version_until_the_end(spark, tmp_path):
     assert sinks.current(spark, root, "a").count() == 5 and sinks.current(spark, root, "b").count() == 6
 
 
+def scattered(seed, n, letters, size):
+    """Texts that are edited at both ends and anywhere, cut or lengthened down to 0.76 of one another."""
+    rng = random.Random(seed)
+    out = ["", "a", "ab"]
+    while len(out) < n:
+        base = "".join(rng.choice(letters) for _ in range(rng.randint(20, size)))
+        out.append(base)
+        for _ in range(rng.randint(0, 4)):
+            text = list("".join(rng.choice(letters) for _ in range(2)) + base[2:-2] + "".join(rng.choice(letters) for _ in range(2)))
+            for _ in range(rng.randint(0, max(1, len(base) // rng.choice([8, 12, 20])))):
+                at = rng.randrange(len(text))
+                text[at : at + rng.randint(0, 2)] = rng.choice(["", rng.choice(letters), rng.choice(letters) * 2])
+            cut = rng.choice([0, 0, rng.randint(0, len(base) // 5)])
+            out.append("".join(text)[cut:] or "x")
+    return out
+
+
+def brute_ratios(texts, least):
+    matchers = [difflib.SequenceMatcher(None, "", y, False) for y in texts]
+
+    def compared(x, matcher):
+        matcher.set_seq1(x)
+        return matcher.ratio() if matcher.real_quick_ratio() >= least and matcher.quick_ratio() >= least else 0
+
+    return {(a, b): r for b, m in enumerate(matchers) for a, x in enumerate(texts[:b]) if (r := compared(x, m)) >= least}
+
+
+@pytest.mark.parametrize("letters,tile", [("abcdefghijklmnopqrstuvwxyz", 16), ("ab", 4096), ("the quick brown fox", 4096)])
+def test_best_earlier_is_complete(spark, monkeypatch, letters, tile):
+    """No pair is lost, wherever the texts differ: equal to the comparison of all pairs."""
+    monkeypatch.setattr(identity, "TILE", tile)
+    ship_package(spark)
+    texts = scattered(len(letters), 110, letters, 80) + ["x" * 40, None]
+    known = [t for t in texts if t is not None]
+    wanted = brute_ratios(known, 0.92)
+    assert sum(x[:8] != y[:8] and x[-10:] != y[-10:] for x, y in ((known[a], known[b]) for a, b in wanted)) > 10
+    got = {r.id: (r.of, r.ratio) for r in identity.best_earlier(spark.createDataFrame(list(enumerate(texts)), "id long, text string")).collect()}
+    best = {}
+    for (a, b), r in sorted(wanted.items()):
+        if r > best.get(b, (0, 0))[1]:
+            best[b] = (a, r)
+    assert got == best
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "天地人日月山水火木金土上下左右大小多少"])
+def test_narratives_are_complete(spark, letters):
+    ship_package(spark)
+    texts = [t for t in scattered(7, 90, letters, 200) if t]
+    rng = random.Random(11)
+    longer = [t + "".join(rng.choice(letters) for _ in range(len(t) * k // 100)) for t in texts[:40] for k in (12, 30)]
+    texts += longer
+    grams = [{t[i : i + 5] for i in range(len(t) - 4)} for t in texts]
+    kept = {i for i, t in enumerate(texts) if len(t) >= 80}
+    jaccard = lambda a, b: len(grams[a] & grams[b]) / len(grams[a] | grams[b]) if grams[a] | grams[b] else 0.0
+    least = {t: i for i, t in reversed(list(enumerate(texts)))}
+    near = {p: r for p, r in brute_ratios(texts, 0.86).items() if set(p) <= kept and (r >= 0.92 or jaccard(*p) >= 0.78)}
+    assert min(near.values()) < 0.92
+    wanted = set(near)
+    wanted = {p for p in wanted if texts[p[0]] == texts[p[1]] and least[texts[p[1]]] == p[0] or texts[p[0]] != texts[p[1]] and all(least[texts[i]] == i for i in p)}
+    units = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    found = identity.narrative_pairs(units, least_cjk=0 if letters < "\x7f" else 60).collect()
+    assert {(r.a, r.b) for r in found} == wanted
+    assert all(abs(r.jaccard - jaccard(r.a, r.b)) < 1e-9 for r in found)
+
+
+def test_char_grams_of_short_texts(spark):
+    got = spark.createDataFrame([("abcd",), ("abcde",), ("aaaaaaa",), ("",), (None,)], "t string").select(text.char_grams(F.col("t")).alias("g")).collect()
+    assert [r.g for r in got] == [[], ["abcde"], ["aaaaa"], [], []]
+
+
 def test_best_earlier_and_narratives(spark):
     ship_package(spark)
     prose = "the quick brown fox jumps over the lazy dog again and again until the evening comes and it sleeps at last"
