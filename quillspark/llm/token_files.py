@@ -42,6 +42,8 @@ TABLE_ENTRIES = 1_000_000
 WORD = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 #: A space that does not stand alone before a word: elsewhere a text may be cut before each space.
 LOOSE = re.compile(r" (?:\s|\Z)")
+#: White space that the pre-tokenizer may take together: elsewhere a text may be cut around each line end.
+JOINED = re.compile(r"[\t\r]|\n\n[\n ]|\n\n\Z")
 #: All but characters about whose classes Python and the library agree; a text with others is encoded whole.
 OTHER = re.compile("[^\t\n\r -~¡-±´-¸º»¿-ɏ‐-‧]")
 
@@ -73,14 +75,14 @@ class _Words(dict):
 
 
 class _Stretches(dict):
-    """What stands between two single spaces -> ids, with the space before it. Those over line ends hardly recur and aren't kept."""
+    """What stands between two single spaces, or after a line end -> ids, with what stands before it. Those over line ends hardly recur and aren't kept."""
 
-    def __init__(self, words: _Words):
+    def __init__(self, words: _Words, before: str = " "):
         super().__init__()
-        self.words = words
+        self.words, self.before = words, before
 
     def __missing__(self, stretch: str) -> bytes:
-        ids = b"".join(map(self.words.__getitem__, WORD.findall(" " + stretch)))
+        ids = b"".join(map(self.words.__getitem__, WORD.findall(self.before + stretch)))
         if "\n" not in stretch:
             self[stretch] = ids
         return ids
@@ -103,18 +105,25 @@ class Encoder:
         self.by_word = sys.byteorder == "little" and not spec["normalizer"] and (pre.get("type"), pre.get("add_prefix_space"), pre.get("use_regex")) == ("ByteLevel", False, True)
         self.special = [x["content"] for x in spec["added_tokens"]]
         self.words = _Words(self.tokenizer.model, self.kind)
-        self.stretches = _Stretches(self.words)
+        self.stretches, self.heads = _Stretches(self.words), _Stretches(self.words, "\n")
 
     def __call__(self, text: str) -> bytes:
         if not self.by_word or OTHER.search(text) or any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        if len(self.stretches) + len(self.words) > self.entries:
+        if len(self.stretches) + len(self.heads) + len(self.words) > self.entries:
             self.stretches.clear()
+            self.heads.clear()
             self.words.clear()
         if LOOSE.search(text):
             return b"".join(map(self.words.__getitem__, WORD.findall(text)))
-        first, *rest = text.split(" ")
-        return b"".join([*map(self.words.__getitem__, WORD.findall(first)), *map(self.stretches.__getitem__, rest)])
+        line, *lines = [text] if JOINED.search(text) else text.split("\n")
+        first, *rest = line.split(" ")
+        parts = [*map(self.words.__getitem__, WORD.findall(first)), *map(self.stretches.__getitem__, rest)]
+        for line in lines:
+            first, *rest = line.split(" ")
+            parts.append(self.heads[first])
+            parts += map(self.stretches.__getitem__, rest)
+        return b"".join(parts)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -124,7 +133,7 @@ def encoder(path: str) -> Encoder:
     """One for each Python worker, kept from task to task."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
-    claim("token_files", _ENCODERS[path].words, _ENCODERS[path].stretches)
+    claim("token_files", _ENCODERS[path].words, _ENCODERS[path].stretches, _ENCODERS[path].heads)
     return _ENCODERS[path]
 
 
