@@ -1,111 +1,29 @@
 """Lexicon sentiment and aspects.
 
-The codebook is data: our own small lists, with the schema of weights, negators, degrees, hedges and
-contrast markers. The scan for longest non-overlapping terms and their windows is the one thing that
-Spark's expressions cannot say; it runs as an Arrow-batched UDF, and all that follows are columns.
+The codebook is a table; codebook.Reader finds its terms in one pass over a text. That scan is the one
+thing that Spark's expressions cannot say; it runs as an Arrow-batched UDF, and all that follows are columns.
 """
 
 from __future__ import annotations
 
-import math
-import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-@dataclass(frozen=True)
-class Codebook:
-    """Terms of each polarity with weights, and what changes them; fixed values of this library."""
-
-    positive: dict[str, float] = field(default_factory=lambda: {"good": 1.0, "great": 1.5, "excellent": 2.0, "pleasant": 1.0, "safe": 1.0, "clean": 1.0, "recommend": 1.5, "helpful": 1.0, "friendly": 1.0, "beautiful": 1.5, "quiet": 1.0, "gut": 1.0, "schön": 1.5, "bueno": 1.0, "bien": 1.0, "好": 1.0, "很好": 1.5, "方便": 1.0})
-    negative: dict[str, float] = field(default_factory=lambda: {"bad": 1.0, "terrible": 2.0, "poor": 1.0, "dirty": 1.0, "unsafe": 1.5, "noisy": 1.0, "差": 1.0, "很差": 1.5, "rude": 1.5, "broken": 1.0, "idiot": 1.5, "worthless": 1.5, "schlecht": 1.0, "malo": 1.0, "mauvais": 1.0})
-    negators: tuple[str, ...] = ("not", "no", "never", "without", "不", "没")
-    degrees: dict[str, float] = field(default_factory=lambda: {"very": 1.4, "extremely": 1.7, "slightly": 0.7, "somewhat": 0.8, "非常": 1.5, "有点": 0.7})
-    hedges: tuple[str, ...] = ("maybe", "perhaps", "possibly", "seems", "可能", "也许")
-    contrast: tuple[str, ...] = ("but", "however", "although", "但是", "不过")
-    neutral: tuple[str, ...] = ("average", "ordinary", "neutral", "一般")
-    aspects: tuple[tuple[str, ...], ...] = (("price", "cost"), ("staff", "service"), ("place", "location"), ("safe", "security"), ("clean", "hygiene"), ("quiet", "noise"), ("food", "meal"))
-
-
-NEGATION_WINDOW, DEGREE_WINDOW, HEDGE_WINDOW = 6, 6, 10
-BEFORE, AFTER = 0.75, 1.25
-#: Where the scope of a modifier ends.
-STOPS = "，,、：:（）()[]【】"
-RESULT = "struct<positive:double,negative:double,hits:int,neutral:int,contrasts:int,raw:double>"
-
-
-def _pattern(terms: list[str]) -> re.Pattern:
-    """Any of the terms, with word boundaries at ASCII letters and digits."""
-    one = [(r"(?<![a-z0-9])" if t[0].isascii() else "") + re.escape(t) + (r"(?![a-z0-9])" if t[-1].isascii() else "") for t in sorted(terms, key=len, reverse=True)]
-    return re.compile("|".join(one) or r"(?!)")
-
-
-class Reader:
-    """Reads one unit of text by a codebook."""
-
-    def __init__(self, book: Codebook):
-        self.book = book
-        self.weights = {**{t: w for t, w in book.positive.items()}, **{t: -w for t, w in book.negative.items()}}
-        self.terms = [(t, _pattern([t])) for t in sorted(self.weights, key=lambda t: (-len(t), t))]
-        self.any_term = _pattern(list(self.weights))
-        self.contrast = _pattern(list(book.contrast))
-        self.negators, self.hedges, self.neutral = _pattern(list(book.negators)), _pattern(list(book.hedges)), _pattern(list(book.neutral))
-        self.degrees = _pattern(list(book.degrees))
-
-    def degree(self, prefix: str) -> float:
-        """The multiplier of the last degree word of a prefix; of two at one place, the longer."""
-        found = [(m.start(), len(m[0]), m[0]) for m in self.degrees.finditer(prefix)]
-        return self.book.degrees[max(found)[2]] if found else 1.0
-
-    def hits(self, clause: str) -> list[tuple[int, int, str]]:
-        """Longest terms first, non-overlapping; ties go to the earliest."""
-        taken: list[tuple[int, int, str]] = []
-        for term, pattern in self.terms:
-            taken += [(m.start(), m.end(), term) for m in pattern.finditer(clause) if not any(m.start() < e and s < m.end() for s, e, _ in taken)]
-        return sorted(taken)
-
-    def _window(self, clause: str, end: int, size: int) -> str:
-        part = clause[max(0, end - size) : end]
-        cut = max(part.rfind(c) for c in STOPS)
-        return part[cut + 1 :]
-
-    def read(self, text: str | None) -> tuple[float, float, int, int, int, float]:
-        """(positive, negative, hits, neutral cues, contrasts, raw)."""
-        positive = negative = 0.0
-        hits = contrasts = 0
-        lowered = (text or "").lower()
-        for clause in re.split(r"(?<=[。！？!?；;\n])", lowered):
-            parts = self.contrast.split(clause)
-            contrasts += len(parts) - 1
-            if not self.any_term.search(clause):
-                continue
-            loud = min(1.24, 1 + 0.08 * min(3, clause.count("!") + clause.count("！")))
-            for k, part in enumerate(parts):
-                place = 1.0 if len(parts) == 1 else AFTER if k else BEFORE
-                for start, _, term in self.hits(part):
-                    value = self.weights[term] * place * loud
-                    if len(self.negators.findall(self._window(part, start, NEGATION_WINDOW))) % 2:
-                        value = -value
-                    value *= self.degree(self._window(part, start, DEGREE_WINDOW))
-                    if self.hedges.search(self._window(part, start, HEDGE_WINDOW)):
-                        value *= 0.75
-                    hits += 1
-                    positive, negative = (positive + value, negative) if value > 0 else (positive, negative - value)
-        return positive, negative, hits, len(self.neutral.findall(lowered)), contrasts, positive - negative
+from quillspark.operators.codebook import RESULT, Codebook, Reader
 
 
 def lexicon(book: Codebook) -> Column:
-    """A UDF from text to the sums of its contributions."""
+    """A UDF from text to its sums, the cues of each dimension and the trace of its hits."""
+    fields = ["positive", "negative", "hits", "neutral", "figurative", "contrasts", "raw", "aspects", "trace"]
 
     @F.pandas_udf(RESULT)
     def read(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         reader = Reader(book)
         for batch in texts:
-            yield pd.DataFrame([reader.read(t) for t in batch], columns=["positive", "negative", "hits", "neutral", "contrasts", "raw"])
+            yield pd.DataFrame([reader.read(t) for t in batch], columns=fields)
 
     return read
 
@@ -121,28 +39,41 @@ def sentiment(units: DataFrame, book: Codebook | None = None, text: str = "text"
 
 
 def aspects(units: DataFrame, book: Codebook | None = None, text: str = "text", declared: str | None = None) -> DataFrame:
-    """Add aspect (the dimension with most cue words), dominance, margin and confidence."""
-    from quillspark.operators.text import term_hits
-
-    cues = (book or Codebook()).aspects
-    counts = F.array(*[sum((term_hits(F.col(text), t) for t in terms), F.lit(0)) for terms in cues])
-    df = units.withColumn("_counts", counts)
-    ranked = F.reverse(F.array_sort(F.transform("_counts", lambda n, i: F.struct(n.alias("n"), (-i).alias("back")))))
-    df = df.withColumn("_ranked", ranked)
-    total = F.aggregate("_counts", F.lit(0), lambda a, x: a + x)
-    first, second = F.col("_ranked")[0], F.col("_ranked")[1]
-    dominance = F.when(total > 0, first["n"] / total).otherwise(0.0)
-    margin = F.when(total > 0, (first["n"] - second["n"]) / total).otherwise(0.0)
-    aspect = F.when(total > 0, (-first["back"]).cast("int"))
-    own = F.col(declared) if declared else F.lit(None).cast("int")
+    """Add aspect, aspect_basis, dominance, margin and aspect_confidence.
+
+    The dimension with most cues is told by its name; of equal counts the last name wins. dominance is its
+    share of all cues, margin how far the second is behind, as a share of its own count. declared names a
+    column of declared dimensions: null and empty declare none, and a name that the codebook lacks has confidence 0.
+    """
+    book = book or Codebook()
+    names = F.array(*[F.lit(n) for n in book.names()])
+    found = units if "lexicon" in units.columns else units.withColumn("lexicon", lexicon(book)(F.col(text)))
+    counted = F.reverse(F.array_sort(F.zip_with(F.col("lexicon.aspects"), names, lambda n, name: F.struct(n.alias("n"), name.alias("name")))))
+    df = found.withColumn("_ranked", counted)
+    first, second = F.get("_ranked", F.lit(0)), F.coalesce(F.get("_ranked", F.lit(1))["n"], F.lit(0))
+    total = F.aggregate("lexicon.aspects", F.lit(0), lambda a, x: a + x)
+    top = F.when(first["n"] > 0, first["name"])
+    own = F.nullif(F.trim(F.col(declared).cast("string")), F.lit("")) if declared else F.lit(None).cast("string")
+    basis = (
+        F.when(own.isNotNull() & ~F.array_contains(names, own), "invalid_declared_dimension")
+        .when(own == top, "declared+lexical_agreement")
+        .when(own.isNotNull() & top.isNotNull(), "declared_lexical_conflict")
+        .when(own.isNotNull(), "declared_only")
+        .when(top.isNotNull(), "lexical_candidate")
+        .otherwise("unresolved")
+    )
+    df = df.withColumns({"aspect_basis": basis, "dominance": F.when(total > 0, first["n"] / total).otherwise(0.0), "margin": F.when(total > 0, (first["n"] - second) / first["n"]).otherwise(0.0)})
+    told = F.col("aspect_basis")
+    aspect = F.when(told.isin("declared+lexical_agreement", "declared_lexical_conflict", "declared_only"), own).otherwise(top)
     confidence = (
-        F.when(own.isNotNull() & (own == aspect), 0.65 + 0.2 * dominance + 0.15 * margin)
-        .when(own.isNull() & aspect.isNotNull(), 0.45 + 0.35 * dominance + 0.2 * margin)
-        .when(own.isNotNull() & aspect.isNotNull(), 0.4)
-        .when(own.isNotNull(), 0.65)
+        F.when(told == "declared+lexical_agreement", 0.65 + 0.2 * F.col("dominance") + 0.15 * F.col("margin"))
+        .when(told == "lexical_candidate", 0.45 + 0.35 * F.col("dominance") + 0.2 * F.col("margin"))
+        .when(told == "declared_lexical_conflict", 0.4)
+        .when(told == "declared_only", 0.65)
         .otherwise(0.0)
     )
-    return df.withColumn("aspect", aspect).withColumn("dominance", dominance).withColumn("margin", margin).withColumn("aspect_confidence", confidence).drop("_counts", "_ranked")
+    df = df.withColumn("aspect", aspect).withColumn("aspect_confidence", confidence).drop("_ranked")
+    return df if "lexicon" in units.columns else df.drop("lexicon")
 
 
 def match_status(aspect_hits: Column, polarity_hits: Column) -> Column:
@@ -227,14 +158,27 @@ def profile_matches(units: DataFrame, profiles: DataFrame, k: int = 3, least: fl
     return kept.select("id", "kind", "concept", "similarity", F.when(F.col("similarity") >= strong, "strong").otherwise("weak").alias("strength"), "place")
 
 
-def confidence(hits: Column, neutral: Column, aspect: Column, complete: Column, mixed: Column, contrasts: Column, fallback: Column) -> Column:
-    """Weighted sum with penalties; a unit parsed by a fallback is capped at 0.71 (M7)."""
-    polarity = F.when(hits >= 2, 1.0).when(hits == 1, 0.75).when(neutral > 0, 0.45).otherwise(0.15)
-    clarity = 1 - F.when(mixed, 0.15).otherwise(0.0) - F.when(contrasts > 1, 0.10).otherwise(0.0)
-    total = 0.35 * polarity + 0.30 * aspect + 0.20 * complete + 0.15 * clarity
-    return F.when(fallback, F.least(total, F.lit(0.71))).otherwise(total)
+def completeness(text: Column, least: int = 6) -> Column:
+    """How whole a text is by its characters that are no white space: 1 from 30 on, 0.8 from 15, 0.6 from the least on, 0.3 below, 0 for none."""
+    n = F.length(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", ""))
+    return F.when(n >= 30, 1.0).when(n >= 15, 0.8).when(n >= least, 0.6).when(n > 0, 0.3).otherwise(0.0)
 
 
-def half_saturation(raw: float) -> float:
-    """The bounded score of one raw sum, for tests."""
-    return max(-5.0, min(5.0, 5 * raw / math.sqrt(raw * raw + 15)))
+#: Bases of an aspect that make a rule unclear.
+UNCLEAR = ("declared_lexical_conflict", "invalid_declared_dimension", "unresolved")
+
+
+def confidence(units: DataFrame, text: str = "text", fallback: Column | None = None) -> DataFrame:
+    """Add confidence (M7): a weighted sum over polarity cues, aspect_confidence, completeness and clarity.
+
+    units has lexicon, sentiment and what aspects() adds. Clarity loses 0.15 for mixed polarity, 0.35 for figurative cues, 0.25 for an
+    aspect in conflict, invalid or unresolved, 0.1 for more than one contrast, and is 0 for no text. Where
+    fallback holds, confidence is at most 0.71.
+    """
+    cues = F.when(F.col("lexicon.hits") >= 2, 1.0).when(F.col("lexicon.hits") == 1, 0.75).when(F.col("lexicon.neutral") > 0, 0.45).otherwise(0.15)
+    lost = lambda condition, share: F.when(condition, share).otherwise(0.0)
+    clarity = 1 - lost(F.col("sentiment") == "mixed", 0.15) - lost(F.col("lexicon.figurative") > 0, 0.35) - lost(F.col("aspect_basis").isin(*UNCLEAR), 0.25) - lost(F.col("lexicon.contrasts") > 1, 0.1)
+    clarity = F.when(F.coalesce(F.col(text), F.lit("")) == "", 0.0).otherwise(F.greatest(clarity, F.lit(0.0)))
+    total = 0.35 * cues + 0.30 * F.col("aspect_confidence") + 0.20 * completeness(F.col(text)) + 0.15 * clarity
+    total = F.least(F.lit(1.0), F.greatest(F.lit(0.0), total))
+    return units.withColumn("confidence", total if fallback is None else F.when(fallback, F.least(total, F.lit(0.71))).otherwise(total))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions import privacy, times, urls
-from quillspark.operators import identity, scoring, semantics, text
+from quillspark.operators import codebook, identity, scoring, semantics, text
 from quillspark.plans.registry import query
 from quillspark.session import ship_package, table
 from quillspark.sources import readers
@@ -196,10 +196,70 @@ def lexicon_sentiment_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", F.round("score_raw", 6).alias("score_raw"), "score", "sentiment", F.col("lexicon.hits").alias("hits"))
 
 
-@query()
+#: Frequent words as cues, so that the given texts have hits of every kind.
+CUES = codebook.Codebook(
+    positive={"the": 1.0, "la": 1.0, "es": 1.5, "und": 1.0}, negative={"of": 1.0, "le": 1.0, "el": 1.5, "der": 1.0}, negators=(), degrees={}, hedges=(), contrast=(), neutral=("and", "et", "y"), figurative=("to", "un"),
+    aspects=(("the", "el"), ("of",), ("and", "und"), ("de",), ("der", "die"), ("que",), ("en", "in")),
+)
+#: Occurrences of words in SQL; no underscore is a letter of a word here.
+COUNTED = r"""WITH t AS (SELECT *, replace(lower(coalesce(text, '')), '_', ' ') AS t FROM documents), n AS (SELECT *, {counts} FROM t), a AS (SELECT *, [{aspects}] AS c FROM n),
+r AS (SELECT *, list_reverse_sort(list_transform(c, lambda x, i: {{'n': x, 'name': CAST(i - 1 AS VARCHAR)}})) AS k, list_sum(c) AS total FROM a),
+m AS (SELECT *, CASE WHEN k[1].n > 0 THEN k[1].name END AS top, CASE WHEN doc_id % 9 < 8 THEN CAST(doc_id % 9 AS VARCHAR) ELSE '' END AS own FROM r),
+b AS (SELECT *, CASE WHEN own IN ('7') THEN 'invalid_declared_dimension' WHEN own <> '' AND own = top THEN 'declared+lexical_agreement' WHEN own <> '' AND top IS NOT NULL THEN 'declared_lexical_conflict' WHEN own <> '' THEN 'declared_only' WHEN top IS NOT NULL THEN 'lexical_candidate' ELSE 'unresolved' END AS basis FROM m),
+g AS (SELECT *, CASE WHEN basis LIKE 'declared%' THEN own ELSE top END AS aspect, CASE basis WHEN 'declared+lexical_agreement' THEN 0.65::DOUBLE + 0.2::DOUBLE * k[1].n / total + 0.15::DOUBLE * (k[1].n - k[2].n) / k[1].n WHEN 'lexical_candidate' THEN 0.45::DOUBLE + 0.35::DOUBLE * k[1].n / total + 0.2::DOUBLE * (k[1].n - k[2].n) / k[1].n
+WHEN 'declared_lexical_conflict' THEN 0.4 WHEN 'declared_only' THEN 0.65 ELSE 0.0 END AS ac FROM b)
+""".format(
+    counts=", ".join(f"len(regexp_extract_all(t, '\\b{w}\\b')) AS n_{w}" for w in sorted({*CUES.positive, *CUES.negative, *CUES.neutral, *CUES.figurative, *(t for terms in CUES.aspects for t in terms)})),
+    aspects=", ".join(" + ".join(f"n_{t}" for t in terms) for terms in CUES.aspects),
+)
+_WEIGHED = {kind: " + ".join(f"{w}::DOUBLE * n_{t}" for t, w in terms.items()) for kind, terms in (("pos", CUES.positive), ("neg", CUES.negative))}
+
+
+def _declared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = F.col("doc_id") % 9
+    return table(spark, sf_dir, "documents").select("doc_id", "text", F.when(own < 8, own.cast("string")).otherwise("").alias("own"))
+
+
+@query(COUNTED + "SELECT doc_id, aspect, basis, round(ac, 6) AS confidence FROM g")
 def aspect_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (F.col("doc_id") % 7).cast("int").alias("own"))
-    return semantics.aspects(docs, semantics.Codebook(aspects=(("the",), ("of",), ("and",), ("de",), ("der",), ("que",), ("en",))), declared="own").select("doc_id", "aspect", F.round("aspect_confidence", 6).alias("confidence"))
+    """The dimension of each document; some declare one, one of the eight is none of the codebook's."""
+    ship_package(spark)
+    found = semantics.aspects(_declared(spark, sf_dir), CUES, declared="own")
+    return found.select("doc_id", "aspect", F.col("aspect_basis").alias("basis"), F.round("aspect_confidence", 6).alias("confidence"))
+
+
+@query(
+    COUNTED
+    + f""", p AS (SELECT *, {_WEIGHED["pos"]} AS pos, {_WEIGHED["neg"]} AS neg, {" + ".join(f"n_{t}" for t in [*CUES.positive, *CUES.negative])} AS hits, {" + ".join(f"n_{t}" for t in CUES.neutral)} AS neutral, {" + ".join(f"n_{t}" for t in CUES.figurative)} AS fig, length(regexp_replace(coalesce(text, ''), '\\s+', '', 'g')) AS len FROM g),
+q AS (SELECT *, least(pos, neg) >= 1.0 AND least(pos, neg) >= 0.35 * greatest(pos, neg) AS mixed, 1.0::DOUBLE AS one FROM p),
+z AS (SELECT *, CASE WHEN coalesce(text, '') = '' THEN 0.0 ELSE greatest(0.0, one - CASE WHEN mixed THEN 0.15 ELSE 0 END - CASE WHEN fig > 0 THEN 0.35 ELSE 0 END - CASE WHEN basis IN ('declared_lexical_conflict', 'invalid_declared_dimension', 'unresolved') THEN 0.25 ELSE 0 END) END AS clear FROM q)
+SELECT doc_id, hits, mixed, round(0.35::DOUBLE * CASE WHEN hits >= 2 THEN 1.0 WHEN hits = 1 THEN 0.75 WHEN neutral > 0 THEN 0.45 ELSE 0.15 END + 0.3::DOUBLE * ac + 0.2::DOUBLE * CASE WHEN len >= 30 THEN 1.0 WHEN len >= 15 THEN 0.8 WHEN len >= 6 THEN 0.6 WHEN len > 0 THEN 0.3 ELSE 0.0 END + 0.15::DOUBLE * clear, 6) AS confidence FROM z"""
+)
+def semantic_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confidence of each document's coding, from its cues, aspect, completeness and clarity (M7)."""
+    ship_package(spark)
+    read = semantics.confidence(semantics.aspects(semantics.sentiment(_declared(spark, sf_dir), CUES), CUES, declared="own"))
+    return read.select("doc_id", F.col("lexicon.hits").cast("long").alias("hits"), (F.col("sentiment") == "mixed").alias("mixed"), F.round("confidence", 6).alias("confidence"))
+
+
+#: The words of the benchmark as a codebook: weights by length, polarity by the first letter.
+BENCHMARK_TERMS = r"""SELECT DISTINCT w, CASE WHEN w < 'n' THEN 'positive' ELSE 'negative' END AS kind, length(w) / 4.0::DOUBLE AS weight FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS w FROM benchmark)"""
+
+
+@query(
+    f"WITH b AS ({BENCHMARK_TERMS}), "
+    + r"""w AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')) AS w, unnest(generate_series(1, len(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')))) AS i FROM documents), h AS (SELECT doc_id, i, b.w, kind, weight FROM w JOIN b USING (w)),
+s AS (SELECT doc_id, count(*) AS hits, round(sum(CASE kind WHEN 'positive' THEN weight ELSE -weight END), 6) AS raw, sha256(string_agg(w || ':' || kind, ',' ORDER BY i)) AS cues_sha256 FROM h GROUP BY doc_id)
+SELECT doc_id, coalesce(hits, 0) AS hits, coalesce(raw, 0.0) AS raw, coalesce(cues_sha256, sha256('')) AS cues_sha256 FROM documents LEFT JOIN s USING (doc_id)"""
+)
+def codebook_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hit, in order, of a codebook of a thousand terms and more: the words of the benchmark, read as rows."""
+    ship_package(spark)
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{4,})"))).alias("term")).distinct()
+    rows = words.select(F.when(F.col("term") < "n", "positive").otherwise("negative").alias("kind"), F.lit(None).cast("string").alias("label"), "term", (F.length("term") / 4.0).alias("weight"))
+    read = semantics.sentiment(table(spark, sf_dir, "documents").select("doc_id", "text"), codebook.load(rows))
+    cues = F.array_join(F.transform("lexicon.trace", lambda x: F.concat(x["cue"], F.lit(":"), x["polarity"])), ",")
+    return read.select("doc_id", F.col("lexicon.hits").cast("long").alias("hits"), F.round("lexicon.raw", 6).alias("raw"), F.sha2(cues, 256).alias("cues_sha256"))
 
 
 @query(

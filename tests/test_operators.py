@@ -262,11 +262,11 @@ def test_term_boundaries(spark):
 
 @pytest.mark.parametrize(
     "value, wanted",
-    [("good", 1.0), ("not good", -1.0), ("very good", 1.4), ("good!", 1.08), ("maybe good", 0.75), ("bad but good", 1.25 - 0.75), ("非常好", 1.5), ("no hits here at all x", 0.0)],
+    [("good", 1.0), ("not good", -1.0), ("very good", 1.4), ("good!", 1.0), ("maybe good", 0.75), ("bad but good", 1.25 - 0.75), ("非常好", 1.5), ("no hits here at all x", 0.0)],
 )
 def test_lexicon(value, wanted):
     book = semantics.Codebook(positive={"good": 1.0, "好": 1.0}, negative={"bad": 1.0})
-    assert semantics.Reader(book).read(value)[5] == pytest.approx(wanted)
+    assert semantics.Reader(book).read(value)[6] == pytest.approx(wanted)
 
 
 def test_sentiment_columns(spark):
