@@ -16,6 +16,7 @@ other. An empty table gives no rows. Only doc_id and text are read.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.token_files import END_ID, encoder, tokenizer_path
+from quillspark.llm.token_files import encoded, encoder, tokenizer_path
 from quillspark.session import ship_package
 
 CAPACITY = 1024
@@ -118,15 +119,21 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, mos
         from pyspark import TaskContext
 
         encode, packer = encoder(path or tokenizer_path()), Packer(capacity, most_open)
-        end = np.array([END_ID], encode.kind).tobytes()
         names = [field.split()[0] for field in SCHEMA.split(", ")]
         number = TaskContext.get().partitionId() * WINDOWS_PER_TASK
         rows: list[tuple] = []
 
-        def windows() -> Iterator[list[Piece]]:
+        ids: deque[int | None] = deque()
+
+        def texts() -> Iterator[str]:
             for batch in batches:
-                for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                    yield from packer.add(doc_id.as_py(), np.frombuffer(encode(text.as_py() or "") + end, encode.kind).astype("<u4"))
+                ids.extend(batch.column(0).to_pylist())
+                for text in batch.column(1):
+                    yield text.as_py() or ""
+
+        def windows() -> Iterator[list[Piece]]:
+            for document in encoded(texts(), encode):
+                yield from packer.add(ids.popleft(), document.astype("<u4"))
             yield from packer.rest()
 
         def batch() -> pa.RecordBatch:

@@ -27,6 +27,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,14 +37,14 @@ from quillspark.session import cut, shared_dir, ship_package
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 MAGIC = 0x325844494B4F54
-#: Entries of a task's table of distinct words; one is about 180 bytes.
-TABLE_ENTRIES = 1_000_000
+#: Entries of a task's table of distinct words; one is about 200 bytes.
+TABLE_ENTRIES = 1_500_000
 #: The words of the byte-level pre-tokenizer, for the characters that OTHER allows.
 WORD = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 #: A space that does not stand alone before a word: elsewhere a text may be cut before each space.
 LOOSE = re.compile(r" (?:\s|\Z)")
-#: White space that the pre-tokenizer may take together: elsewhere a text may be cut around each line end.
-JOINED = re.compile(r"[\t\r]|\n\n[\n ]|\n\n\Z")
+#: White space that the pre-tokenizer may take together, as a space or two line ends at a text's end: other texts may be cut before each space and line end.
+TOGETHER = ("\t", "\r", "  ", " \n", "\n\n\n", "\n\n ")
 #: All but characters about whose classes Python and the library agree; a text with others is encoded whole.
 OTHER = re.compile("[^\t\n\r -~¡-±´-¸º»¿-ɏ‐-‧]")
 
@@ -67,22 +68,23 @@ class _Words(dict):
     def __init__(self, model: Any, kind: str):
         super().__init__()
         self.model, self.code, self.letters = model, "H" if kind == "<u2" else "I", byte_letters()
+        self.plain = {b: letter for b, letter in enumerate(self.letters[:128]) if letter != chr(b)}
 
     def __missing__(self, word: str) -> bytes:
-        spelled = "".join([self.letters[b] for b in word.encode()])
+        spelled = word.translate(self.plain) if word.isascii() else "".join([self.letters[b] for b in word.encode()])
         self[word] = ids = array(self.code, [x.id for x in self.model.tokenize(spelled)]).tobytes()
         return ids
 
 
 class _Stretches(dict):
-    """What stands between two single spaces, or after a line end -> ids, with what stands before it. Those over line ends hardly recur and aren't kept."""
+    """What stands between two single spaces -> ids, with the space before it. Those over line ends hardly recur and aren't kept."""
 
-    def __init__(self, words: _Words, before: str = " "):
+    def __init__(self, words: _Words):
         super().__init__()
-        self.words, self.before = words, before
+        self.words = words
 
     def __missing__(self, stretch: str) -> bytes:
-        ids = b"".join(map(self.words.__getitem__, WORD.findall(self.before + stretch)))
+        ids = b"".join(map(self.words.__getitem__, WORD.findall(" " + stretch)))
         if "\n" not in stretch:
             self[stretch] = ids
         return ids
@@ -105,25 +107,89 @@ class Encoder:
         self.by_word = sys.byteorder == "little" and not spec["normalizer"] and (pre.get("type"), pre.get("add_prefix_space"), pre.get("use_regex")) == ("ByteLevel", False, True)
         self.special = [x["content"] for x in spec["added_tokens"]]
         self.words = _Words(self.tokenizer.model, self.kind)
-        self.stretches, self.heads = _Stretches(self.words), _Stretches(self.words, "\n")
+        self.stretches = _Stretches(self.words)
 
     def __call__(self, text: str) -> bytes:
         if not self.by_word or OTHER.search(text) or any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        if len(self.stretches) + len(self.heads) + len(self.words) > self.entries:
+        if len(self.stretches) + len(self.words) > self.entries:
             self.stretches.clear()
-            self.heads.clear()
             self.words.clear()
         if LOOSE.search(text):
             return b"".join(map(self.words.__getitem__, WORD.findall(text)))
-        line, *lines = [text] if JOINED.search(text) else text.split("\n")
-        first, *rest = line.split(" ")
-        parts = [*map(self.words.__getitem__, WORD.findall(first)), *map(self.stretches.__getitem__, rest)]
-        for line in lines:
-            first, *rest = line.split(" ")
-            parts.append(self.heads[first])
-            parts += map(self.stretches.__getitem__, rest)
-        return b"".join(parts)
+        first, *rest = text.split(" ")
+        return b"".join([*map(self.words.__getitem__, WORD.findall(first)), *map(self.stretches.__getitem__, rest)])
+
+    def _loose(self, text: str) -> bool:
+        """Whether a text can't be cut at its spaces and line ends."""
+        return not self.by_word or any(x in text for x in TOGETHER) or text.endswith((" ", "\n\n")) or bool(OTHER.search(text)) or any(s in text for s in self.special)
+
+    def _piece(self, piece: str) -> bytes:
+        """The ids of a piece, which is in the table of words by its own text."""
+        words = WORD.findall(piece)
+        if len(words) == 1:
+            return self.words[piece]
+        found = self.words[piece] = b"".join(map(self.words.__getitem__, words))
+        return found
+
+    def many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts, one after the other, and the offsets at which each begins, with the end.
+
+        Pieces of texts are told apart and their ids put together by Arrow; only distinct ones are looked up.
+        """
+        cut = [k for k, t in enumerate(texts) if not self._loose(t)]
+        flat, offsets = self._cut([texts[k] for k in cut])
+        if len(cut) == len(texts):
+            return flat, offsets
+        ids: list[np.ndarray] = [flat[:0]] * len(texts)
+        for k, a, b in zip(cut, offsets[:-1], offsets[1:], strict=True):
+            ids[k] = flat[a:b]
+        for k in set(range(len(texts))) - set(cut):
+            ids[k] = np.frombuffer(self(texts[k]), self.kind)
+        return np.concatenate(ids), np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
+
+    def _cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if not texts:
+            return np.zeros(0, self.kind), np.zeros(1, np.int64)
+        marked = pa.array([t.replace(" ", "\0 ").replace("\n", "\0\n") for t in texts], pa.large_string())
+        parts = pc.split_pattern(marked, "\0")
+        pieces = parts.values.dictionary_encode()
+        distinct = pieces.dictionary.to_pylist()
+        if len(self.stretches) + len(self.words) > self.entries:
+            self.stretches.clear()
+            self.words.clear()
+        table = self.words.get
+        known = [table(p) or self._piece(p) for p in distinct]
+        width = np.dtype(self.kind).itemsize
+        sizes = np.array([len(x) // width for x in known], np.int64)
+        each = pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]), np.frombuffer(b"".join(known), self.kind))
+        flat = each.take(pieces.indices).flatten().to_numpy()
+        upto = np.concatenate([[0], np.cumsum(sizes[pieces.indices.to_numpy()])])
+        return flat, upto[parts.offsets.to_numpy()]
+
+
+#: Characters of texts that are encoded at once.
+PORTION = 8 << 20
+
+
+def encoded(texts: Iterable[str], encode: Encoder) -> Iterator[np.ndarray]:
+    """The ids of each text with the end id, in portions of bounded size."""
+    held: list[str] = []
+    size = 0
+
+    def portion() -> Iterator[np.ndarray]:
+        flat, offsets = encode.many(held)
+        end = np.array([END_ID], encode.kind)
+        for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+            yield np.concatenate([flat[a:b], end])
+
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= PORTION:
+            yield from portion()
+            held, size = [], 0
+    yield from portion()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -133,7 +199,7 @@ def encoder(path: str) -> Encoder:
     """One for each Python worker, kept from task to task."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
-    claim("token_files", _ENCODERS[path].words, _ENCODERS[path].stretches, _ENCODERS[path].heads)
+    claim("token_files", _ENCODERS[path].words, _ENCODERS[path].stretches)
     return _ENCODERS[path]
 
 
@@ -158,24 +224,26 @@ def write(docs: DataFrame, folder: str, path: str | None = None) -> DataFrame:
 
         context = TaskContext.get()
         encode = encoder(path or tokenizer_path())
-        end = np.array([END_ID], encode.kind).tobytes()
-        width = np.dtype(encode.kind).itemsize
         store, at = _open(folder)
         store.create_dir(at, recursive=True)
         name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}"
         ids, lengths, nulls = [], [], 0
         with store.open_output_stream(posixpath.join(at, f"{name}.bin")) as out:
-            for batch in batches:
-                nulls += batch.column(0).null_count
-                ids.extend(x or 0 for x in batch.column(0).to_pylist())
-                for text in batch.column(1):
-                    data = encode(text.as_py() or "")
-                    out.write(data)
-                    out.write(end)
-                    lengths.append(len(data) // width + 1)
+
+            def texts() -> Iterator[str]:
+                nonlocal nulls
+                for batch in batches:
+                    nulls += batch.column(0).null_count
+                    ids.extend(x or 0 for x in batch.column(0).to_pylist())
+                    for text in batch.column(1):
+                        yield text.as_py() or ""
+
+            for document in encoded(texts(), encode):
+                out.write(document.tobytes())
+                lengths.append(len(document))
         offsets = np.concatenate([[0], np.cumsum(lengths, dtype="<i8")]).astype("<i8")
         with store.open_output_stream(posixpath.join(at, f"{name}.idx")) as out:
-            out.write(np.array([MAGIC, width, len(ids), nulls], "<i8").tobytes() + np.array(ids, "<i8").tobytes() + offsets.tobytes())
+            out.write(np.array([MAGIC, np.dtype(encode.kind).itemsize, len(ids), nulls], "<i8").tobytes() + np.array(ids, "<i8").tobytes() + offsets.tobytes())
         if ids:
             yield pa.RecordBatch.from_pydict({"file": [name], "part": [context.partitionId()], "n_docs": [len(ids)], "n_ids": [int(offsets[-1])]})
 
