@@ -123,17 +123,17 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, mos
         number = TaskContext.get().partitionId() * WINDOWS_PER_TASK
         rows: list[tuple] = []
 
-        ids: deque[int | None] = deque()
+        doc_ids: deque[int | None] = deque()
 
         def texts() -> Iterator[str]:
             for batch in batches:
-                ids.extend(batch.column(0).to_pylist())
+                doc_ids.extend(batch.column(0).to_pylist())
                 for text in batch.column(1):
                     yield text.as_py() or ""
 
         def windows() -> Iterator[list[Piece]]:
             for document in encoded(texts(), encode):
-                yield from packer.add(ids.popleft(), document.astype("<u4"))
+                yield from packer.add(doc_ids.popleft(), document.astype("<u4"))
             yield from packer.rest()
 
         def batch() -> pa.RecordBatch:

@@ -22,7 +22,7 @@ import sys
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import Any
 
 import numpy as np
