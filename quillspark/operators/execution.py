@@ -152,14 +152,8 @@ def round_robin(df: DataFrame, group: str, order: list[str], budget: int) -> Dat
     return df.withColumn("turn", nth).where(F.col("turn") <= budget).orderBy("turn", group).limit(budget)
 
 
-def chain_check(log: DataFrame, by: str, seq: str, previous: str, own: str) -> DataFrame:
-    """Add chain_ok: numbered 1..n, each naming the hash of the one before it."""
-    w = Window.partitionBy(by).orderBy(seq)
-    linked = F.col(previous).eqNullSafe(F.lag(own).over(w))
-    return log.withColumn("chain_ok", linked & (F.row_number().over(w) == F.col(seq)))
-
-
 def conflicting(events: DataFrame, key: str, payload: str) -> DataFrame:
-    """Events whose key was replayed with another payload: all of them are rejected."""
-    kinds = F.size(F.collect_set(payload).over(Window.partitionBy(key)))
-    return events.withColumn("rejected", kinds > 1)
+    """Events whose key was replayed with another payload: all of them are rejected (P5, X2). A null payload is one of its own."""
+    same = Window.partitionBy(key)
+    told = F.coalesce(F.concat(F.lit("+"), F.col(payload).cast("string")), F.lit("-"))
+    return events.withColumn("rejected", F.min(told).over(same) != F.max(told).over(same))

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillspark.operators import execution, identity
+from quillspark.operators import chains, execution, identity
 from quillspark.plans.registry import query
 from quillspark.session import table
-from quillspark.sources import sinks
 
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,16 +151,58 @@ def termination_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.select("user_id", execution.termination(facts).alias("t")).select("user_id", "t.outcome", "t.terminal")
 
 
+#: Events of each user as a chain: the digest of an event's columns, and the hash that carries all before it on.
+CHAIN = """WITH RECURSIVE o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq, sha256(strlen(event_id::VARCHAR) || ':' || event_id || coalesce(strlen(event_type) || ':' || event_type, '-') || coalesce(strlen(props) || ':' || props, '-')) AS own FROM events),
+c AS (SELECT event_id, user_id, event_type, props, value, seq, own, '' AS previous, sha256('|' || own) AS h FROM o WHERE seq = 1 UNION ALL SELECT o.event_id, o.user_id, o.event_type, o.props, o.value, o.seq, o.own, c.h, sha256(c.h || '|' || o.own) FROM c JOIN o ON o.user_id = c.user_id AND o.seq = c.seq + 1)
+"""
+CHAINED = ["event_id", "event_type", "props"]
+
+
+def _chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").withColumn("seq", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
+    return chains.chained(events, "user_id", "seq", CHAINED)
+
+
+@query(CHAIN + "SELECT event_id, previous AS previous_event_sha256, h AS event_sha256, seq <> row_number() OVER w OR previous <> coalesce(lag(h) OVER w, '') AS broken FROM c WINDOW w AS (PARTITION BY user_id ORDER BY seq)")
+def hash_chain_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chain the events of each user, each hash over the one before, and follow the chain again."""
+    log = chains.broken(_chain(spark, sf_dir), "user_id", "seq", CHAINED)
+    return log.select("event_id", chains.PREVIOUS, chains.HASH, (F.size("faults") > 0).alias("broken"))
+
+
 @query(
-    """WITH o AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq, sha256(concat_ws('|', event_id::VARCHAR, event_type, props)) AS own FROM events),
-c AS (SELECT *, sha256(coalesce(lag(own) OVER w, '') || '|' || own) AS event_sha256 FROM o WINDOW w AS (PARTITION BY user_id ORDER BY seq))
-SELECT event_id, event_sha256, true AS chain_ok FROM c"""
+    CHAIN
+    + """, d AS (SELECT * REPLACE (CASE WHEN value > 80 THEN 'view' ELSE event_type END AS event_type) FROM c WHERE value >= 0.5),
+e AS (SELECT *, sha256(previous || '|' || sha256(strlen(event_id::VARCHAR) || ':' || event_id || coalesce(strlen(event_type) || ':' || event_type, '-') || coalesce(strlen(props) || ':' || props, '-'))) AS made, row_number() OVER w AS nth, coalesce(lag(h) OVER w, '') AS before FROM d WINDOW w AS (PARTITION BY user_id ORDER BY seq))
+SELECT event_id, concat_ws(',', CASE WHEN seq <> nth THEN 'number' END, CASE WHEN previous <> before THEN 'previous_hash' END, CASE WHEN h <> made THEN 'event_hash' END) AS faults FROM e"""
 )
-def hash_chain_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chain the events of each user and follow the chain again."""
-    events = table(spark, sf_dir, "events").withColumn("seq", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
-    chained = sinks.chained(events, "user_id", "seq", ["event_id", "event_type", "props"])
-    return execution.chain_check(chained, "user_id", "seq", "previous_event_sha256", "event_sha256").select("event_id", "event_sha256", "chain_ok")
+def hash_chain_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the check says of a log of which events were altered (of high values) and lost (of low ones)."""
+    altered = _chain(spark, sf_dir).where("value >= 0.5").withColumn("event_type", F.when(F.col("value") > 80, "view").otherwise(F.col("event_type")))
+    return chains.broken(altered, "user_id", "seq", CHAINED).select("event_id", F.array_join("faults", ",").alias("faults"))
+
+
+#: Each event amends the user's one before it; a sign-up the one before that, a purchase of a high value none.
+AMENDED = """WITH RECURSIVE o AS (SELECT event_id::VARCHAR AS event_id, user_id AS target, event_id AS seq, CASE event_type WHEN 'error' THEN 'retract' ELSE 'patch' END AS kind, value, event_type, coalesce(props, '') AS new_sha256,
+lag(event_id, 1) OVER w AS p1, lag(event_id, 2) OVER w AS p2, lag(coalesce(props, ''), 1) OVER w AS n1, lag(coalesce(props, ''), 2) OVER w AS n2 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+a AS (SELECT event_id, target, seq, kind, new_sha256, CASE WHEN event_type = 'purchase' AND value > 60 THEN NULL WHEN event_type = 'signup' THEN p2 ELSE p1 END::VARCHAR AS previous, CASE WHEN event_type = 'view' AND value > 60 THEN 'none' WHEN event_type = 'signup' THEN n2 ELSE n1 END AS old_sha256 FROM o),
+k AS (SELECT a.*, p.kind AS pk, p.new_sha256 AS pn, row_number() OVER (PARTITION BY a.target, a.previous ORDER BY a.seq) > 1 AS fork FROM a LEFT JOIN a p ON p.event_id = a.previous),
+z AS (SELECT *, concat_ws(',', CASE WHEN fork THEN 'fork' END, CASE WHEN pk = 'retract' THEN 'reopened' END, CASE WHEN previous IS NOT NULL AND pn IS DISTINCT FROM old_sha256 THEN 'record_hash' END) AS codes FROM k),
+r AS (SELECT event_id, event_id AS root, 0 AS rank, codes = '' AS effective, target, codes FROM z WHERE previous IS NULL UNION ALL SELECT z.event_id, r.root, r.rank + 1, r.effective AND z.codes = '', z.target, z.codes FROM r JOIN z ON z.previous = r.event_id)
+"""
+
+
+@query(AMENDED + "SELECT event_id, root, rank::BIGINT AS rank, codes, effective FROM r")
+def amendment_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rank and faults of amendments that fork, go on after a retraction and name another record."""
+    events = table(spark, sf_dir, "events")
+    order = Window.partitionBy("user_id").orderBy("event_id")
+    body = F.coalesce("props", F.lit(""))
+    kind, high = F.col("event_type"), F.col("value") > 60
+    previous = F.when((kind == "purchase") & high, None).when(kind == "signup", F.lag("event_id", 2).over(order)).otherwise(F.lag("event_id", 1).over(order))
+    old = F.when((kind == "view") & high, "none").when(kind == "signup", F.lag(body, 2).over(order)).otherwise(F.lag(body, 1).over(order))
+    rows = events.select("event_id", F.col("user_id").alias("target"), F.col("event_id").alias("seq"), F.when(kind == "error", "retract").otherwise("patch").alias("kind"), previous.alias("previous"), old.alias("old_sha256"), body.alias("new_sha256"))
+    return chains.amendments(rows).select("event_id", "root", "rank", F.array_join("codes", ",").alias("codes"), "effective")
 
 
 @query(LOG + "SELECT execution_id, round, nth, CAST(upto AS BIGINT) AS upto FROM (SELECT execution_id, round, CAST(row_number() OVER w AS INTEGER) AS nth, sum(intent) OVER (PARTITION BY round ORDER BY ts, execution_id ROWS UNBOUNDED PRECEDING) AS upto FROM log WINDOW w AS (PARTITION BY round ORDER BY ts, execution_id)) WHERE nth <= 12 AND upto <= 400")

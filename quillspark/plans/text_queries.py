@@ -10,6 +10,7 @@ from quillspark.operators import codebook, identity, scoring, semantics, text
 from quillspark.plans.registry import query
 from quillspark.session import ship_package, table
 from quillspark.sources import readers
+from quillspark.sources.html_places import page_places
 
 
 @query()
@@ -69,6 +70,16 @@ def html_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", F.col("v.level").alias("level"), F.length("v.text").alias("n_chars"), F.sha2("v.text", 256).alias("text_sha256"))
 
 
+@query()
+def html_text_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the visible text of each page stands in its source, and whether cutting it there gives it again."""
+    ship_package(spark)
+    read = table(spark, sf_dir, "pages").select("page_id", "html", page_places(F.col("html")).alias("v"))
+    cut = F.transform(F.filter("v.pieces", lambda p: p["kind"] == "text"), lambda p: F.substring("html", p["source_start"] + 1, p["source_end"] - p["source_start"]) == F.substring("v.text", p["start"] + 1, p["end"] - p["start"]))
+    kept = F.forall(cut, lambda x: x)
+    return read.select("page_id", F.col("v.level").alias("level"), F.size("v.pieces").cast("long").alias("pieces"), F.size("v.uncertain").cast("long").alias("uncertain"), kept.alias("kept"), F.sha2("v.text", 256).alias("text_sha256"))
+
+
 @query(
     r"""WITH c AS (SELECT doc_id, len(regexp_extract_all(text, '[\x{4e00}-\x{9fff}]')) AS cjk, len(regexp_extract_all(text, '[A-Za-z\x{00c0}-\x{024f}]')) AS latin FROM documents)
 SELECT doc_id, CASE WHEN cjk + latin = 0 THEN 'none' WHEN least(cjk, latin) >= 0.12 * (cjk + latin) THEN 'mixed' WHEN cjk > latin THEN 'cjk' ELSE 'latin' END AS script FROM c"""
@@ -148,16 +159,27 @@ def ngram_containment_vs_benchmark(spark: SparkSession, sf_dir: str) -> DataFram
 sha256(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+', '', 'g')) AS rest_sha256 FROM documents WHERE regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+')"""
 )
 def contact_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E-mail spans, and the text without them."""
-    docs = table(spark, sf_dir, "documents").where(F.col("text").rlike(privacy.KINDS["email"]))
-    return docs.select("doc_id", F.size(privacy.found(F.col("text"), "email")).cast("long").alias("emails"), F.sha2(F.regexp_replace("text", privacy.KINDS["email"], ""), 256).alias("rest_sha256"))
+    """E-mail addresses by the short pattern that SQL has, and the text without them; contact_spans_all has every kind."""
+    docs = table(spark, sf_dir, "documents").where(F.col("text").rlike(SHORT_EMAIL))
+    return docs.select("doc_id", F.regexp_count("text", F.lit(SHORT_EMAIL)).cast("long").alias("emails"), F.sha2(F.regexp_replace("text", SHORT_EMAIL, ""), 256).alias("rest_sha256"))
+
+
+@query()
+def contact_spans_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contact data of every kind in every document, with what URLs exempt."""
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", privacy.contact_spans(F.col("text")).alias("spans"))
+    told = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    return docs.select("doc_id", F.size("spans").cast("long").alias("n"), told.alias("spans"))
 
 
 @query()
 def contact_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").where(privacy.has_private(F.col("text")))
-    masked = privacy.masked(privacy.masked(F.col("text"), "email"), "phone")
-    return docs.select("doc_id", (F.length("text") == F.length(masked)).alias("same_length"), F.sha2(masked, 256).alias("masked_sha256"))
+    """Every document with all its contact data hidden, and what is left of it: nothing."""
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", privacy.masked(F.col("text")).alias("masked"))
+    left = F.size(privacy.contact_spans(F.col("masked"))).cast("long")
+    return docs.select("doc_id", F.length("text").eqNullSafe(F.length("masked")).alias("same_length"), left.alias("left"), F.sha2("masked", 256).alias("masked_sha256"))
 
 
 @query(
@@ -196,6 +218,7 @@ def lexicon_sentiment_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", F.round("score_raw", 6).alias("score_raw"), "score", "sentiment", F.col("lexicon.hits").alias("hits"))
 
 
+SHORT_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 #: Frequent words as cues, so that the given texts have hits of every kind.
 CUES = codebook.Codebook(
     positive={"the": 1.0, "la": 1.0, "es": 1.5, "und": 1.0}, negative={"of": 1.0, "le": 1.0, "el": 1.5, "der": 1.0}, negators=(), degrees={}, hedges=(), contrast=(), neutral=("and", "et", "y"), figurative=("to", "un"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -11,21 +11,8 @@ def write_ledger(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def chained(events: DataFrame, by: str, seq: str, columns: list[str]) -> DataFrame:
-    """Add event_sha256 and previous_event_sha256.
-
-    An event's hash covers its own columns and the plain hash of the event before it, so that all rows are
-    hashed at once and `chain_check` can follow them by lag.
-    """
-    own = F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)
-    order = Window.partitionBy(by).orderBy(seq)
-    df = events.withColumn("_own", own)
-    df = df.withColumn("event_sha256", F.sha2(F.concat_ws("|", F.coalesce(F.lag("_own").over(order), F.lit("")), "_own"), 256))
-    return df.withColumn("previous_event_sha256", F.lag("event_sha256").over(order)).drop("_own")
-
-
 def append_log(events: DataFrame, path: str) -> None:
-    """Append rows of a chained log."""
+    """Append rows of a chained log; operators.chains chains them and reads the log again."""
     events.write.mode("append").json(path)
 
 

@@ -291,9 +291,38 @@ def test_times(spark):
     assert one(spark, times.partial_date, "2024-02-31") is None
 
 
-def test_mask_keeps_length(spark):
-    got = one(spark, lambda c: privacy.masked(c, "email"), "write to a.b@example.com now")
-    assert got == "write to *************** now"
+CONTACTS = [
+    ("write to a.b@example.com now", ["email"]), ("+86 13912345678!", ["mobile"]), ("x13912345678", []), ("phone: +1 (202) 555-0100 or", ["contact"]), ("微信：abc_12345。", ["account"]), ("account  user.name-1", ["account"]),
+    ("see https://x.org/users/anna?a=1，now", ["profile", "url_identifier"]), ("https://x.org/item/13912345678 ok", []), ("https://x.org/?id=13912345678", []), ("https://x.org/?tel=13912345678", ["contact", "mobile", "url_identifier"]), ("https://x.org/?q=a%40b.org", ["url_identifier"]),
+    ("https://x.org/a#13912345678", ["mobile", "url_identifier"]), ("https://[bad/13912345678", ["mobile", "url_identifier"]), ("https://x.org/phone/12", []), ("https://x.org/contact/13912345678", ["mobile", "url_identifier"]), ("é😀 a@b.org é", ["email"]), ("", []), (None, []),
+    ("a@b.org c@d.org 13912345678", ["email", "email", "mobile"]), ("nothing here", []),
+]
+
+
+def test_contact_spans_and_exemptions(spark):
+    ship_package(spark)
+    got = spark.createDataFrame([(t,) for t, _ in CONTACTS], "t string").select(privacy.contact_spans(F.col("t")).alias("s"), privacy.masked(F.col("t")).alias("m")).collect()
+    for (given, kinds), r in zip(CONTACTS, got, strict=True):
+        assert sorted(x.kind for x in r.s) == kinds, given
+        wanted = given and "".join(privacy.MARK if any(x.start <= i < x.end for x in r.s) else c for i, c in enumerate(given))
+        assert r.m == wanted
+        assert privacy.spans_of(r.m) == []
+    assert spark.createDataFrame(CONTACTS[:3], "t string, k array<string>").where(privacy.has_private(F.lit(None).cast("string"), F.col("t"))).count() == 2
+
+
+def test_contact_mask_leaves_nothing(spark):
+    import __spark_entry__ as entry
+
+    rows = entry.queries()["contact_mask"](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 200 and all(r.same_length and not r.left for r in rows)
+
+
+def test_spans_of_a_long_text_are_found_in_linear_time():
+    import time
+
+    began = time.process_time()
+    assert len(privacy.spans_of("a@b.org 13912345678 https://x.org/?id=13912345678 " * 20_000)) == 40_000
+    assert time.process_time() - began < 30
 
 
 def test_strict_json(spark):
@@ -324,14 +353,6 @@ def test_ledger_blobs_and_manifest(spark, tmp_path):
     assert sinks.changed(before, before).count() == 0
 
 
-def test_broken_chain_is_found(spark):
-    log = spark.createDataFrame([("a", i, f"e{i}") for i in range(1, 5)], "k string, seq int, body string")
-    chained = sinks.chained(log, "k", "seq", ["body"])
-    assert execution.chain_check(chained, "k", "seq", "previous_event_sha256", "event_sha256").where("not chain_ok").count() == 0
-    torn = chained.where("seq <> 2")
-    assert execution.chain_check(torn, "k", "seq", "previous_event_sha256", "event_sha256").where("not chain_ok").count() == 2
-
-
 def test_overlay(spark):
     base = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, v string")
     sha = base.select("id", F.sha2("v", 256).alias("h")).collect()
