@@ -8,7 +8,8 @@ most likely labelling in which a node that holds article text has only ancestors
 element never has kept descendants; text leaves that are kept make the result.
 
 The trees are fitted here, on pages that `example_pages` makes from random templates with known answers; in
-half of them neither tags nor names tell where the article stands.
+half of them neither tags nor names tell where the article stands, and elements that hold it may have names
+of other parts ("has-sidebar", "comment-policy").
 
 A null or empty page, and one without article text, gives an empty text. Unclosed, unknown and stray tags,
 attributes with ">" in quotes and cut-off pages are read as far as they go; a comment or script that never
@@ -82,10 +83,13 @@ STOP = str.maketrans("", "", ".,;:!?")
 
 @lru_cache(100_000)
 def _roles(attributes: str) -> int:
+    """Bits of the roles that names tell: those of names all of whose words tell one, then those of names with other words ("has-sidebar")."""
     flags = 0
     for value in ATTRIBUTES.findall(attributes):
-        for word in SPLIT.split(value.strip("\"'")):
-            flags |= ROLE_OF.get(word.lower(), 0)
+        for name in value.strip("\"'").split():
+            found = [ROLE_OF.get(word.lower(), 0) for word in SPLIT.split(name) if word]
+            for role in found:
+                flags |= role if all(found) else role << len(ROLES)
     return flags
 
 
@@ -242,7 +246,7 @@ class Forest:
         ]
         for k in range(len(KINDS)):
             columns += [kind >> k & 1, above_kind >> k & 1]
-        for k in range(len(ROLES)):
+        for k in range(2 * len(ROLES)):
             columns += [roles >> k & 1, above_roles >> k & 1]
         return np.stack(columns, axis=1).astype(np.float32), parent, depth
 
@@ -324,8 +328,15 @@ def example_pages(count: int, seed: int = 11) -> Iterator[tuple[str, list[str]]]
             return f"<noscript>{text}</noscript>"
         return f"<p>{text}</p>"
 
+    def misleading() -> str:
+        """A name with a word for what is no article, on an element that holds one: a layout, a subject or a setting."""
+        role = pick("sidebar", "footer", "header", "nav", "menu", "ads", "ad", "comments", "comment", "banner", "notice", "widget", "share", "related", "cookie", "form", "breadcrumb")
+        return pick(f"has-{role}", f"with-{role}", f"no-{role}", f"{role}-left", f"{role}-policy", f"{role}-open", f"{role}-story", f"page-{role}-layout", f"{role}-{words(1, 2).strip('.,').lower()}")
+
     def named(*kinds: str) -> str:
-        """An attribute that tells nothing, or none."""
+        """An attribute that tells nothing or something wrong, or none."""
+        if rng.random() < 0.3:
+            return f' {pick("class", "class", "id")}="{pick("", "", "wrap ", "page ")}{misleading()}"'
         word = pick("col", "layout", "page", "wrap", "row", "inner", "c1", "left", "center", "container", "x-main2", "box", words(1, 2).strip(".,").lower())
         return pick(*kinds, "", f' class="{word}"', f' id="{word}"', f' class="{word} {word}-{rng.randrange(9)}"')
 
@@ -350,14 +361,18 @@ def example_pages(count: int, seed: int = 11) -> Iterator[tuple[str, list[str]]]
             if rng.random() < 0.05:
                 inside += junk(pick("ad", "side", "form", "notice"))
                 lines[0] = False
-            inside += paragraph(blocks)
+            if rng.random() < 0.1 and not plain:
+                part = pick("div", "section")
+                inside += f"<{part}{named()}>" + "".join(paragraph(blocks) for _ in range(rng.randrange(1, 4))) + f"</{part}>"
+            else:
+                inside += paragraph(blocks)
         opened, closed = container()
         before = [junk(x) for x in ("header", "menu", "notice", "ad", "side", "form") if rng.random() < (0.7 if x in ("menu", "ad") else 0.35)]
         after = [junk(x) for x in ("ad", "comments", "side", "form", "notice", "footer") if rng.random() < (0.7 if x == "footer" else 0.35)]
         around = [named() for _ in range(rng.randrange(0, 3))] if rng.random() < 0.5 else []
         whole = "".join(f"<div{x}>" for x in around) + "".join(before) + opened + inside + closed + "".join(after) + "</div>" * len(around)
         tail = "</body></html>" if rng.random() < 0.8 else ""
-        yield f"<!DOCTYPE html><html><head><title>{words(2, 6)}</title></head><body>{whole}{tail}", [" ".join(b.split()) for b in blocks]
+        yield f"<!DOCTYPE html><html><head><title>{words(2, 6)}</title></head><body{named() if rng.random() < 0.5 else ''}>{whole}{tail}", [" ".join(b.split()) for b in blocks]
 
 
 @lru_cache

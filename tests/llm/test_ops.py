@@ -497,6 +497,36 @@ def test_html_floods_are_read_in_linear_time(flood):
     assert time.time() - began < 40
 
 
+P = "The committee met again on Tuesday to discuss the long delayed bridge over the river, and agreed on a plan."
+Q = "Several residents spoke in favour of the proposal, although some asked for more time and a second opinion."
+LINKS = "<ul><li><a href='/a'>Home</a></li><li><a href='/b'>News</a></li><li><a href='/c'>Sport</a></li></ul>"
+#: Articles in elements whose names have words for other parts.
+MISLEADING = [
+    (f'<html><body class="has-sidebar"><div class="wrap with-footer"><p>{P}</p><p>{Q}</p></div></body></html>', [P, Q]),
+    (f'<div class="content"><h1>Bridge</h1><div class="comment-policy"><p>{P}</p></div></div>', ["Bridge", P]),
+    (f'<body class="no-comments"><nav>{LINKS}</nav><div id="page" class="has-header"><div class="menu-open"><h1>Bridge plan</h1><p>{P}</p><p>{Q}</p></div></div><footer>&copy; 2024</footer></body>', ["Bridge plan", P, Q]),
+    (f'<body><div class="with-sidebar"><div class="sidebar"><h3>More</h3>{LINKS}</div><div class="col"><p>{P}</p><p>{Q}</p></div></div></body>', [P, Q]),
+    (f'<body class="ad-free"><header><h1>Site</h1>{LINKS}</header><section class="news-banner-story"><h2>Bridge plan</h2><p>{P}</p></section><div id="comments"><p>I do not like it at all.</p></div></body>', ["Bridge plan", P]),
+    (f'<body id="nav-left"><table><tr><td>{LINKS}</td><td class="widget-area-left"><p>{P}</p><p>{Q}</p></td></tr></table></body>', [P, Q]),
+    (f'<body><main class="cookie-policy"><h1>Cookies we bake</h1><p>{P}</p><ul><li>One cup of flour.</li><li>Two eggs.</li></ul></main></body>', ["Cookies we bake", P, "One cup of flour.", "Two eggs."]),
+    (f'<body class="page-footer-layout"><article class="comments-open"><h1>Bridge</h1><p>{P}</p></article><aside><p>Read also this</p></aside></body>', ["Bridge", P]),
+    (f'<body><div class="site-header"><h2>The Paper</h2></div><div class="has-related"><p>{P}</p><p>{Q}</p><p>{P}</p></div><div class="related"><h3>Related</h3>{LINKS}</div></body>', [P, Q, P]),
+    (f'<body class="form-story share-left"><div class="breadcrumbs">Home / News</div><div><div><h1>Bridge plan</h1><p>{P}</p><blockquote><p>{Q}</p></blockquote></div></div></body>', ["Bridge plan", P, Q]),
+    (f'<body><div class="notice-board-app"><h1>Bridge plan</h1><div>{P}</div><div>{Q}</div></div><div class="cookie-notice"><p>We use cookies.</p><button>OK</button></div></body>', ["Bridge plan", P, Q]),
+    (f'<body class="has-comments"><div class="with-ads"><p>{P}</p><div class="ad">Buy now</div><p>{Q}</p></div><section class="comments"><h3>Comments</h3><ul><li class="comment">Nice one, thanks.</li></ul></section></body>', [P, Q]),
+]
+
+
+@pytest.mark.parametrize("page, blocks", MISLEADING)
+def test_html_names_of_other_parts_on_harmless_ancestors(page, blocks):
+    assert html_text.main_texts([page], html_text.model()) == ["\n\n".join(blocks)]
+
+
+def test_html_empty_table(spark):
+    found = html_text.extract(spark.createDataFrame([], "page_id long, url string, html string, text string"))
+    assert found.columns == ["page_id", "url", "text", "n_chars"] and found.count() == 0
+
+
 def test_html_deep_nesting_keeps_text(spark):
     words = "The river rose again in the night, and by morning the lower road was under water. Nobody was hurt."
     pages = spark.createDataFrame([(1, None, "<div>" * 100_000 + words + "</div>" * 100_000), (1, None, f"<p>{words}"), (None, "u", f"<p>{words}")], "page_id long, url string, html string")
