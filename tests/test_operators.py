@@ -178,6 +178,25 @@ def test_matched_is_difflibs():
         assert identity.matched(x, y, 0) == wanted and identity.matched(x, y, wanted + 1) is None
 
 
+def test_half_a_common_subsequence_rules_out_no_pair():
+    rng = random.Random(4)
+    for _ in range(4000):
+        x, y = ("".join(rng.choice("abc") for _ in range(rng.randint(0, 25))) for _ in "xy")
+        if rng.random() < 0.5:
+            y = "".join(rng.choice(["", c, c, c, c + "a"]) for c in x)
+        table = [[0] * (len(y) + 1)]
+        for c in x:
+            row = [0]
+            for k, d in enumerate(y):
+                row.append(table[-1][k] + 1 if c == d else max(row[-1], table[-1][k + 1]))
+            table.append(row)
+        assert identity.common_subsequence(x, y) == table[-1][-1]
+        m = sum(b.size for b in difflib.SequenceMatcher(None, x, y, False).get_matching_blocks())
+        assert identity.may_match(x, y, m)
+        value = 2 * m / (len(x) + len(y)) if x or y else 1.0
+        assert not value or not (x or y) or identity.ratio(x, y, value) == value
+
+
 @pytest.mark.parametrize("tile", [8, 4096])
 def test_similar_pairs_of_whole_texts(spark, monkeypatch, tile):
     monkeypatch.setattr(identity, "TILE", tile)
