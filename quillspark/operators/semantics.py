@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from quillspark.operators.codebook import RESULT, Codebook, Reader
 
 
+#: Texts whose traces are held at once.
+ROWS = 64
+
+
 def lexicon(book: Codebook) -> Column:
     """A UDF from text to its sums, the cues of each dimension and the trace of its hits."""
     fields = ["positive", "negative", "hits", "neutral", "figurative", "contrasts", "raw", "aspects", "trace"]
@@ -23,7 +27,9 @@ def lexicon(book: Codebook) -> Column:
     def read(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         reader = Reader(book)
         for batch in texts:
-            yield pd.DataFrame([reader.read(t) for t in batch], columns=fields)
+            # traces are many times as large as texts: few rows at once
+            for at in range(0, len(batch), ROWS):
+                yield pd.DataFrame([reader.read(t) for t in batch.iloc[at : at + ROWS]], columns=fields)
 
     return read
 

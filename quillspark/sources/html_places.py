@@ -25,6 +25,8 @@ RENDERED = frozenset("iframe object embed canvas svg".split())
 #: Values of style properties that can be judged without the cascade, and those that hide.
 KNOWN = {"display": {"none", "block", "inline", "inline-block", "flex", "grid", "contents"}, "visibility": {"visible", "hidden", "collapse"}, "content-visibility": {"visible", "hidden", "auto"}}
 HIDING = {"display": {"none"}, "visibility": {"hidden", "collapse"}, "content-visibility": {"hidden"}}
+#: Pages whose pieces are held at once.
+ROWS = 64
 TEXT, REFERENCE, BREAK = "text", "reference", "break"
 _RANGE = StructType().add("start", IntegerType()).add("end", IntegerType())
 _PIECE = StructType([*_RANGE.fields]).add("source_start", IntegerType()).add("source_end", IntegerType()).add("kind", StringType())
@@ -158,7 +160,8 @@ def places(source: str | None) -> tuple[str, str, list[dict], list[dict]]:
 def page_places(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """Text, level, pieces and uncertain ranges of pages; places count code points."""
     for batch in pages:
-        yield pd.DataFrame([places(page) for page in batch], columns=["text", "level", "pieces", "uncertain"])
+        for at in range(0, len(batch), ROWS):
+            yield pd.DataFrame([places(page) for page in batch.iloc[at : at + ROWS]], columns=["text", "level", "pieces", "uncertain"])
 
 
 def source_place(pieces: list[dict], at: int) -> int:
