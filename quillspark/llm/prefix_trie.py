@@ -365,3 +365,29 @@ def _empty(*names: str) -> list[Column]:
 def report(turns: DataFrame) -> DataFrame:
     """The trie of the rebuilt conversations."""
     return trie(rebuilt(sequences(turns)))
+
+
+#: The same by grouping all prefixes; the checksum by its definition: a table made from the polynomial, and a fold over the bytes.
+ORACLE_SQL = r"""
+WITH RECURSIVE steps(i, k, v) AS (
+  SELECT i, 0, i FROM range(256) r(i) UNION ALL SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM steps WHERE k < 8
+), tab AS (SELECT list(v ORDER BY i) AS t FROM steps WHERE k = 8
+), t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS x,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), x) AS k FROM conversations WHERE conv_id IS NOT NULL
+), h AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS first, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda h: CAST('0x' || h AS BIGINT)), lambda acc, b: xor(acc // 256, t[xor(acc % 256, b) + 1]), 4294967295), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t) CROSS JOIN tab
+), s AS (
+  SELECT h.conv_id, 0 AS part, k, x, text FROM h JOIN t ON t.conv_id = h.first AND k <= h.h UNION ALL SELECT h.conv_id, 1, k, x, text FROM h JOIN t ON t.conv_id = h.conv_id AND k > h.h
+), z AS (
+  SELECT conv_id, row_number() OVER w AS d, length(text) AS len, string_agg(x, '') OVER w AS key FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY part, k) UNION ALL SELECT conv_id, 0, 0, '' FROM h
+), m AS (SELECT key, d, min(conv_id) AS conv_id, count(*) AS n, any_value(len) AS len FROM z GROUP BY key, d
+), ends AS (SELECT key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends FROM (SELECT * FROM z QUALIFY d = max(d) OVER (PARTITION BY conv_id)) GROUP BY key
+), kids AS (SELECT left(key, length(key) - 64) AS key, count(*) AS kids FROM m WHERE d > 0 GROUP BY ALL
+), o AS (SELECT m.*, coalesce(kids, 0) AS kids, coalesce(ends, sha256('')) AS ends FROM m LEFT JOIN kids USING (key) LEFT JOIN ends USING (key)
+), below AS (SELECT left(key, 64 * up) AS key, count(*) FILTER (kids = 0) AS leaves, sum((n - 1) * len) AS saved FROM (SELECT *, unnest(range(d + 1)) AS up FROM o) GROUP BY ALL
+)
+SELECT o.conv_id, o.d AS depth, p.conv_id AS parent_conv_id, o.n AS n_convs, o.kids AS n_children, b.leaves AS n_leaves, b.saved::BIGINT AS saved_tokens, o.ends AS ends_sha256
+FROM o JOIN below b ON b.key = o.key LEFT JOIN m p ON o.d > 0 AND p.key = left(o.key, length(o.key) - 64)
+"""

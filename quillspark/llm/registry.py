@@ -80,4 +80,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_sharding": sharding.ORACLE_SQL, "op6_url_filter": url_filter.ORACLE_SQL}
+    return {"op2_sharding": sharding.ORACLE_SQL, "op6_url_filter": url_filter.ORACLE_SQL, "op12_repair": repair.ORACLE_SQL, "op13_prefix_trie": prefix_trie.ORACLE_SQL}

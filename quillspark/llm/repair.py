@@ -52,15 +52,16 @@ def flagged(turns: DataFrame) -> DataFrame:
     rows = turns.select("conv_id", "turn", *[F.coalesce(F.col(c), F.lit(" ")).alias(c) for c in ("role", "text")], lost.alias("lost"))
     # dealt by conversation once; the windows' finer keys need no shuffle of their own
     rows = rows.repartition("conv_id").withColumns({"initial": F.left("role", F.lit(1)), "said": F.sha2(F.concat(F.octet_length("role").cast("string"), F.lit(":"), "role", "text"), 256)})
-    earlier = Window.partitionBy("conv_id", "lost", "said").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     order = Window.partitionBy("conv_id", "lost").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    bare = F.rtrim("text", F.lit(BLANKS))
-    fault = F.when(bare == "", "blank").when(F.row_number().over(earlier) > 1, "duplicate").when(~F.right(bare, F.lit(1)).isin(".", "!", "?"), "truncated")
-    rows = rows.withColumn("fault", fault)
     before = F.lag("initial").over(order)
     illegal = before.isNotNull() & ~F.concat(before, "initial").isin("su", "ua", "au")
     new = F.col("turn").isNotNull() & ~F.lag("turn").over(order).eqNullSafe(F.col("turn"))
-    return rows.select("conv_id", "turn", "role", "text", "lost", F.row_number().over(order).alias("nth"), new.alias("new_turn"), "initial", "fault", illegal.alias("illegal"))
+    rows = rows.withColumns({"nth": F.row_number().over(order), "new_turn": new, "illegal": illegal})
+    # by the places given, so that of equal rows the later one is the duplicate
+    earlier = Window.partitionBy("conv_id", "lost", "said").orderBy("nth")
+    bare = F.rtrim("text", F.lit(BLANKS))
+    fault = F.when(bare == "", "blank").when(F.row_number().over(earlier) > 1, "duplicate").when(~F.right(bare, F.lit(1)).isin(".", "!", "?"), "truncated")
+    return rows.withColumn("fault", fault).select("conv_id", "turn", "role", "text", "lost", "nth", "new_turn", "initial", "fault", "illegal")
 
 
 def _edit(state: Column, cost: Column | int, letter: str, plan: str = "") -> Column:
@@ -138,3 +139,48 @@ def report(turns: DataFrame) -> DataFrame:
     """The repair of damaged conversations, with a hash of the repaired turns."""
     lines = F.array_join(F.transform("repaired", lambda x: F.concat(x["role"], F.lit(":"), x["text"])), "\n")
     return repair(damage(turns)).withColumn("repaired_sha256", F.sha2(lines, 256)).drop("repaired")
+
+
+#: The same by a recursive query; the checksum by its definition: a table made from the polynomial, and a fold over the bytes.
+ORACLE_SQL = r"""
+WITH RECURSIVE steps(i, k, v) AS (
+  SELECT i, 0, i FROM range(256) r(i) UNION ALL SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM steps WHERE k < 8
+), tab AS (SELECT list(v ORDER BY i) AS t FROM steps WHERE k = 8
+), c AS (
+  SELECT coalesce(conv_id::VARCHAR, ' ') AS conv, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))), '..'), lambda h: CAST('0x' || h AS BIGINT)), lambda acc, b: xor(acc // 256, t[xor(acc % 256, b) + 1]), 4294967295), 4294967295) % 20 AS kind FROM conversations CROSS JOIN tab
+), d AS (
+  SELECT conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text FROM c CROSS JOIN range(2) r(copy) WHERE kind > 0 AND (copy = 0 OR kind = 3)
+), f AS (
+  SELECT *, row_number() OVER w AS k, left(role, 1) AS i, lag(left(role, 1)) OVER w AS before, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM d WINDOW w AS (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text)
+), g AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY k) > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault, before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au') AS illegal FROM f
+), sums AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal, max(k) AS n FROM g GROUP BY conv
+), fold AS (
+  -- a state is its cost in 12 digits, the audit and the plan, so that the least text is the cheapest; u and a come with what is inserted after a row
+  SELECT conv, 0::BIGINT AS k, lpad('0', 12, '0') || '||' AS none, NULL::VARCHAR AS s, lpad('3', 12, '0') || '|I|u' AS u, lpad('6', 12, '0') || '|II|ua' AS a FROM sums
+  UNION ALL
+  SELECT conv, k, none, s, u, least(a, regexp_replace(lpad((u[:12]::BIGINT + 3)::VARCHAR, 12, '0') || u[13:], '\|([^|]*)\|(.*)$', '|\1I|\2a')) AS a FROM (
+    SELECT conv, k, none, s, least(u, list_aggregate(list_transform([none, s, a], lambda x: regexp_replace(lpad((x[:12]::BIGINT + 3)::VARCHAR, 12, '0') || x[13:], '\|([^|]*)\|(.*)$', '|\1I|\2u')), 'min')) AS u, a FROM (
+      SELECT conv, g.k,
+        regexp_replace(lpad((none[:12]::BIGINT + 4)::VARCHAR, 12, '0') || none[13:], '\|([^|]*)\|(.*)$', '|\1D|\2D') AS none,
+        least(regexp_replace(lpad((s[:12]::BIGINT + 4)::VARCHAR, 12, '0') || s[13:], '\|([^|]*)\|(.*)$', '|\1D|\2D'), CASE WHEN stays AND i = 's' THEN regexp_replace(lpad((none[:12]::BIGINT + more)::VARCHAR, 12, '0') || none[13:], '\|([^|]*)\|(.*)$', '|\1K|\2K') END) AS s,
+        least(regexp_replace(lpad((u[:12]::BIGINT + 4)::VARCHAR, 12, '0') || u[13:], '\|([^|]*)\|(.*)$', '|\1D|\2D'),
+          CASE WHEN stays AND i = 'u' THEN list_aggregate(list_transform([none, s, a], lambda x: regexp_replace(lpad((x[:12]::BIGINT + more)::VARCHAR, 12, '0') || x[13:], '\|([^|]*)\|(.*)$', '|\1K|\2K')), 'min') END,
+          CASE WHEN stays THEN list_aggregate(list_transform([none, s, a], lambda x: regexp_replace(lpad((x[:12]::BIGINT + more + 3)::VARCHAR, 12, '0') || x[13:], '\|([^|]*)\|(.*)$', '|\1R|\2U')), 'min') END) AS u,
+        least(regexp_replace(lpad((a[:12]::BIGINT + 4)::VARCHAR, 12, '0') || a[13:], '\|([^|]*)\|(.*)$', '|\1D|\2D'),
+          CASE WHEN stays AND i = 'a' THEN regexp_replace(lpad((u[:12]::BIGINT + more)::VARCHAR, 12, '0') || u[13:], '\|([^|]*)\|(.*)$', '|\1K|\2K') END,
+          CASE WHEN stays THEN regexp_replace(lpad((u[:12]::BIGINT + more + 3)::VARCHAR, 12, '0') || u[13:], '\|([^|]*)\|(.*)$', '|\1R|\2A') END) AS a
+      FROM fold JOIN (SELECT *, fault NOT IN ('blank', 'duplicate') AS stays, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS more FROM g) g USING (conv) WHERE g.k = fold.k + 1
+    )
+  )
+), best AS (SELECT conv, least(none, a) AS x FROM fold JOIN sums USING (conv) WHERE k = n
+), told AS (SELECT conv, x[:12]::BIGINT AS cost, split_part(x, '|', 2) AS audit, split_part(x, '|', 3) AS plan FROM best
+), edits AS (SELECT *, plan[pos] AS e, length(regexp_replace(plan[:pos], '[ua]', '', 'g')) AS k FROM (SELECT conv, plan, unnest(range(1, length(plan) + 1)) AS pos FROM told)
+), lines AS (
+  SELECT conv, string_agg(CASE e WHEN 'u' THEN 'user:' WHEN 'a' THEN 'assistant:' WHEN 'U' THEN 'user:' || text WHEN 'A' THEN 'assistant:' || text ELSE role || ':' || text END, chr(10) ORDER BY pos) AS body FROM edits LEFT JOIN g USING (conv, k) WHERE e <> 'D' GROUP BY conv
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv, conv_id FROM c) o LEFT JOIN sums USING (conv) LEFT JOIN told USING (conv) LEFT JOIN lines USING (conv)
+"""

@@ -207,3 +207,11 @@ def test_trie_of_turnless_and_no_conversations(spark):
     rows = [(c, 0, "user", "gone") for c in bare]
     assert held_trie(prefix_trie.report(frame(spark, rows))) == brute_conversations.trie(rows)
     assert held_trie(prefix_trie.report(frame(spark, rows)))[bare[0], 0][1:4] == (4, 0, 1)
+
+
+@pytest.mark.parametrize("name", ["op12_repair", "op13_prefix_trie"])
+def test_sql_gives_the_same_rows(spark, name):
+    from compare import duck, rows
+
+    found, wanted = registry.queries()[name](spark, SF).toPandas(), duck(SF).execute(registry.oracle_sql()[name]).df()
+    assert sorted(found.columns) == sorted(wanted.columns) and rows(found) == rows(wanted)
