@@ -13,6 +13,8 @@ from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
 import ahocorasick
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Terms that a codebook may have: it is sent to every task.
@@ -137,7 +139,10 @@ class Terms:
         """The longest occurrences that do not overlap, in the order of the text; of equals the earliest, then the least by first."""
         taken = bytearray(len(text))
         out = []
-        for hit in sorted(self.found(text), key=lambda h: (h[0] - h[1], h[0], first(h), h[2])):
+        hits = self.found(text)
+        if len(hits) < 2:
+            return hits
+        for hit in sorted(hits, key=lambda h: (h[0] - h[1], h[0], first(h), h[2])):
             if not any(taken[hit[0] : hit[1]]):
                 taken[hit[0] : hit[1]] = b"\1" * (hit[1] - hit[0])
                 out.append(hit)
@@ -146,7 +151,7 @@ class Terms:
 
 TRACE = "array<struct<start:int,cue:string,polarity:string,weight:double,negation:double,degree:double,contrast:double,hedge:double,contribution:double>>"
 RESULT = f"struct<positive:double,negative:double,hits:int,neutral:int,figurative:int,contrasts:int,raw:double,aspects:array<int>,trace:{TRACE}>"
-_TRACED = ("start", "cue", "polarity", "weight", "negation", "degree", "contrast", "hedge", "contribution")
+TRACED = ("start", "cue", "polarity", "weight", "negation", "degree", "contrast", "hedge", "contribution")
 
 
 class Reader:
@@ -191,7 +196,7 @@ class Reader:
             at = end.end() if end else stop
         return out
 
-    def read(self, text: str | None) -> tuple[float, float, int, int, int, int, float, list[int], list[dict]]:
+    def read(self, text: str | None) -> tuple[float, float, int, int, int, int, float, list[int], list[tuple]]:
         """The fields of RESULT."""
         lowered = folded(text or "")
         positive = negative = 0.0
@@ -199,13 +204,12 @@ class Reader:
         for at, part, weight, behind in self.parts(lowered):
             contrasts += behind
             for start, _, cue, (polarity, base) in self.polarity.apart(part, lambda h: -h[3][1]):
-                near, wide = self._scope(part, start, NEGATION_WINDOW), self._scope(part, start, HEDGE_WINDOW)
-                negation = -1.0 if len(self.negators.apart(near)) % 2 else 1.0
-                degree = self.degree(near if DEGREE_WINDOW == NEGATION_WINDOW else self._scope(part, start, DEGREE_WINDOW))
-                hedge = HEDGED if self.hedges.found(wide) else 1.0
+                negation = -1.0 if self.negators.any and len(self.negators.apart(self._scope(part, start, NEGATION_WINDOW))) % 2 else 1.0
+                degree = self.degree(self._scope(part, start, DEGREE_WINDOW)) if self.degrees.any else 1.0
+                hedge = HEDGED if self.hedges.any and self.hedges.found(self._scope(part, start, HEDGE_WINDOW)) else 1.0
                 value = (1.0 if polarity == "positive" else -1.0) * base * negation * degree * weight * hedge
                 positive, negative = (positive + value, negative) if value >= 0 else (positive, negative - value)
-                trace.append(dict(zip(_TRACED, (at + start, cue, polarity, base, negation, degree, weight, hedge, value), strict=True)))
+                trace.append((at + start, cue, polarity, base, negation, degree, weight, hedge, value))
         marks = Counter(kind for *_, kinds in self.marks.found(lowered) for kind in kinds)
         aspects = [marks[k] for k in range(len(self.book.aspects))]
         return positive, negative, len(trace), marks["neutral"], marks["figurative"], contrasts, positive - negative, aspects, trace
@@ -214,3 +218,16 @@ class Reader:
     def _scope(part: str, end: int, size: int) -> str:
         scope = part[max(0, end - size) : end]
         return scope[max(scope.rfind(c) for c in STOPS) + 1 :]
+
+
+def as_arrow(read: list[tuple]) -> pa.StructArray:
+    """What a Reader says of texts, as a column of RESULT."""
+    *sums, aspects, traces = zip(*read, strict=True)
+    hits = [hit for trace in traces for hit in trace]
+    upto = pa.array(np.concatenate([[0], np.cumsum([len(t) for t in traces])]), pa.int32())
+    kinds = [pa.int32(), pa.string(), pa.string(), *[pa.float64()] * 6]
+    fields = zip(*hits, strict=True) if hits else [[] for _ in kinds]
+    each = pa.StructArray.from_arrays([pa.array(f, k) for f, k in zip(fields, kinds, strict=True)], TRACED)
+    types = [pa.float64(), pa.float64(), *[pa.int32()] * 4, pa.float64()]
+    columns = [*map(pa.array, sums, types), pa.array(aspects, pa.list_(pa.int32())), pa.ListArray.from_arrays(upto, each)]
+    return pa.StructArray.from_arrays(columns, ["positive", "negative", "hits", "neutral", "figurative", "contrasts", "raw", "aspects", "trace"])

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.operators.codebook import RESULT, Codebook, Reader
+from quillspark.operators.codebook import RESULT, Codebook, Reader, as_arrow
 
 
 #: Texts whose traces are held at once.
@@ -21,15 +21,13 @@ ROWS = 64
 
 def lexicon(book: Codebook) -> Column:
     """A UDF from text to its sums, the cues of each dimension and the trace of its hits."""
-    fields = ["positive", "negative", "hits", "neutral", "figurative", "contrasts", "raw", "aspects", "trace"]
-
-    @F.pandas_udf(RESULT)
-    def read(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(RESULT)
+    def read(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         reader = Reader(book)
         for batch in texts:
             # traces are many times as large as texts: few rows at once
             for at in range(0, len(batch), ROWS):
-                yield pd.DataFrame([reader.read(t) for t in batch.iloc[at : at + ROWS]], columns=fields)
+                yield as_arrow([reader.read(t) for t in batch.slice(at, ROWS).to_pylist()])
 
     return read
 

@@ -78,8 +78,8 @@ def test_reader_is_the_plain_one():
         text = rng.choice(["", " "]).join(rng.choice(PARTS) for _ in range(rng.randint(0, 14)))
         got = reader.read(text)
         plain = codebook.folded(text)
-        assert (round(got[0], 9), round(got[1], 9), [(x["cue"], round(x["contribution"], 9)) for x in got[8]], got[5]) == brute(plain, BOOK), text
-        assert all(plain[x["start"] :].startswith(x["cue"]) for x in got[8])
+        assert (round(got[0], 9), round(got[1], 9), [(x[1], round(x[8], 9)) for x in got[8]], got[5]) == brute(plain, BOOK), text
+        assert all(plain[x[0] :].startswith(x[1]) for x in got[8])
         assert got[3:5] == (sum(len(pattern(t).findall(plain)) for t in BOOK.neutral), len(pattern("haha").findall(plain)))
         assert got[7] == [sum(len(pattern(t).findall(plain)) for t in terms) for terms in BOOK.aspects]
 
