@@ -356,6 +356,17 @@ def test_provider_results(spark):
     assert sorted((r.id, r.url) for r in readers.provider_results(df).collect()) == [(0, "http://a.com/1"), (1, "http://b.com"), (2, "http://c.com/x"), (2, "http://d.com.")]
 
 
+def test_visible_text_holds_few_pages(spark):
+    import pyarrow as pa
+
+    pages = [f"<p>{k}<p>{k}<script></script>" if k % 2 else None for k in range(3 * readers.ROWS + 5)]
+    parts = list(readers.visible_text.func(iter([pa.array(pages, pa.string()), pa.array([], pa.string())])))
+    assert max(map(len, parts)) == readers.ROWS
+    assert [x for part in parts for x in part.to_pylist()] == [{"text": str(k), "level": "unconfirmed"} if k % 2 else {"text": "", "level": "confirmed"} for k in range(len(pages))]
+    got = spark.createDataFrame(list(enumerate(pages)), "k int, h string").select("k", readers.visible_text("h").alias("v")).collect()
+    assert {r.k: r.v.text for r in got} == {k: str(k) if k % 2 else "" for k in range(len(pages))}
+
+
 def test_visible_text(spark):
     ship_package(spark)
     page = "<head><title>x</title></head><body><p>Hello&nbsp;you</p><p>Hello you</p><div style='display:none'>no<p>no</p></div><script>var a</script>tail"
