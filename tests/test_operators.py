@@ -6,6 +6,7 @@ import json
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -608,3 +609,43 @@ def test_tables_of_one_file_are_dealt_to_all_cores(spark, monkeypatch):
     monkeypatch.setattr(session, "SPREAD_BYTES", 1)
     spread = session.table(spark, "/root/testdata/sf0.001", "documents")
     assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread.count() == few.count()
+
+
+def test_best_earlier_of_every_twentieth(spark):
+    """Queries are the ids divisible by 20, compared with all earlier texts: the same as those rows of the whole answer."""
+    ship_package(spark)
+    texts = scattered(3, 60, "the quick brown fox", 80)
+    units = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    whole = {r.id: (r.of, r.ratio) for r in identity.best_earlier(units).collect()}
+    some = {r.id: (r.of, r.ratio) for r in identity.best_earlier(units, every=20).collect()}
+    assert some == {k: v for k, v in whole.items() if k % 20 == 0}
+
+
+def test_tiles_hold_each_text_at_most_twice_in_a_block(spark):
+    """A text of a small block is in one tile of it, and a text without a partner of its length in none."""
+    rows = [(k, "A beginning " + str(k) * 30) for k in range(5)] + [(9, "A beginning " + "x" * 900)]
+    tiles, _, _ = identity.block_tiles(spark.createDataFrame(rows, "id long, text string"), "id", 0.92, True, 16)
+    assert sorted(r.id for r in tiles.where("not suffix").collect()) == [0, 1, 2, 3, 4]
+
+
+def test_links_join_what_pairs_do_with_few_of_them(spark):
+    ids, texts = np.arange(40), np.array([("the same words " * 12)[:150] + f"{k:02d}" for k in range(40)], object)
+    tile = identity.Tile(ids, texts, np.zeros(40, bool), np.zeros(40, int), 0, 0, False, False)
+    assert len(list(identity.pairs_of(0.92)(tile))) == 780 and len(list(identity.links_of(0.92)(tile))) == 39
+
+
+def test_many_partners_are_ruled_out_as_one_by_one():
+    rng = random.Random(5)
+    for size, letters in ((40, "ab"), (300, "the quick brown"), (1200, "abcdefghijklmnop天地"), (700, "a")):
+        text = "".join(rng.choice(letters) for _ in range(size))
+        others = ["".join(c if rng.random() > p else rng.choice(["", "x", c + "y"]) for c in text) for p in (0, 0.02, 0.05, 0.1, 0.15, 0.3) for _ in range(8)]
+        others += ["".join(rng.choice(letters) for _ in range(size + k)) for k in range(-5, 6)] + ["", text[: size // 2]]
+        got = identity.may_match_all(text, others, 0.92)
+        for other, fits in zip(others, got.tolist(), strict=True):
+            n, m = size, len(other)
+            needed = 0.92 * (n + m) / 2 - 1e-6
+            missed, ahead = int(np.floor(n - needed)), int(np.floor(m - needed))
+            kept = n // 4 - missed
+            assert fits == (missed >= 0 and ahead >= 0 and (kept <= 0 or identity.common_subsequence(text[: n // 4], other, kept + ahead) >= kept))
+            assert fits or not identity.ratio(text, other)
+        assert 10 < got.sum() <= len(others)
