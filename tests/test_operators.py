@@ -649,3 +649,40 @@ def test_many_partners_are_ruled_out_as_one_by_one():
             assert fits == (missed >= 0 and ahead >= 0 and (kept <= 0 or identity.common_subsequence(text[: n // 4], other, kept + ahead) >= kept))
             assert fits or not identity.ratio(text, other)
         assert 10 < got.sum() <= len(others)
+
+
+def test_best_earlier_pages_asks_for_every_page(spark, tmp_path):
+    """A page whose id 20 does not divide has its earlier one too."""
+    from quillspark.plans.content_queries import best_earlier_pages
+
+    words = "the quick brown fox jumps over the lazy dog again and again until the evening comes"
+    pages = [(7, f"<p>{words}</p>"), (13, f"<p>{words}!</p>"), (20, "<p>no other page has anything like this text</p>"), (40, f"<p>{words}</p>")]
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert {(r.id, r.of) for r in best_earlier_pages(spark, str(tmp_path)).collect()} == {(13, 7), (40, 7)}
+
+
+@pytest.mark.parametrize("stretch,sketched", [(20, 0), (20, 1 << 20), (1 << 20, 0)])
+def test_bounds_of_best_earlier_rule_no_near_pair_out(monkeypatch, stretch, sketched):
+    """Whatever is left out of either text, and wherever: a long part at one end, or single characters all over."""
+    monkeypatch.setattr(identity, "STRETCH", stretch)
+    monkeypatch.setattr(identity, "SKETCHED", sketched)
+    rng = random.Random(stretch + sketched)
+    texts = scattered(4, 60, "the quick brown fox", 300)
+    for size in (100, 400, 900):
+        base = "".join(rng.choice("abcdefghijklmno pqr") for _ in range(size))
+        part = int(size * 0.079)
+        other = "".join(rng.choice("uvwxyz") for _ in range(part))
+        gaps = set(rng.sample(range(size), part))
+        texts += [base, base[part:] + other, other + base[:-part], base[: size // 2] + other + base[size // 2 + part :]]
+        texts += ["".join(c for k, c in enumerate(base) if k not in gaps), "".join(rng.choice("uvw") if k in gaps else c for k, c in enumerate(base)), base + other + other]
+    near = brute_ratios(texts, 0.92)
+    assert len(near) > 40
+    layers = identity.Layers(list(range(len(texts))), texts, max(map(len, texts)), 0.92)
+    flags, found = np.zeros(layers.flags, bool), {}
+    for x, row in enumerate(layers.rows.tolist()):
+        places, bounds = layers.near(x, layers, x + 1, flags)
+        assert not flags.any()
+        fits = identity.may_align(texts[row], [layers.texts[y] for y in places.tolist()], 0.92) if len(places) else []
+        found |= {tuple(sorted((row, int(layers.rows[y])))): b for y, b, f in zip(places.tolist(), bounds.tolist(), fits, strict=True) if f}
+    assert all(found.get(pair, 0) >= value - 1e-9 for pair, value in near.items())
+    assert len(found) < len(texts) * (len(texts) - 1) / 4
